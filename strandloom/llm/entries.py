@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandloom.llm import byte_bpe, line_dedup, mixing, quality_rules, token_counts, topk_search, warc
+from strandloom.llm import byte_bpe, line_dedup, minhash_dedup, mixing, quality_rules, token_counts, topk_search, warc
 from strandloom.llm.common import table
 
 
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), 85)
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"))
 
@@ -57,7 +61,7 @@ select query_id, rank, vec_id, score from r where rank <= 10
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op2_mixing, op4_token_counts, op5_warc, op6_quality_rules, op7_byte_bpe, op8_line_dedup, op9_topk_search]
+    own = [op1_minhash_dedup, op2_mixing, op4_token_counts, op5_warc, op6_quality_rules, op7_byte_bpe, op8_line_dedup, op9_topk_search]
     return {f.__name__: f for f in own}
 
 
