@@ -71,11 +71,11 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 #: An odd base and its inverse modulo 2**64.
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
+BASE = 0x9E3779B97F4A7C15 | 1
+INVERSE = pow(BASE, -1, 1 << 64)
 
 
-def _powers(base: int, n: int) -> np.ndarray:
+def powers(base: int, n: int) -> np.ndarray:
     out = np.full(n, base, np.uint64)
     out[0] = 1
     return np.multiply.accumulate(out)
@@ -106,7 +106,7 @@ class Words:
 
     def _hash(self, raw: np.ndarray, block: int = 1 << 20) -> np.ndarray:
         out = np.zeros(len(self.start), np.uint64)
-        power, back = _powers(_BASE, block), _powers(_INVERSE, block)
+        power, back = powers(BASE, block), powers(INVERSE, block)
         at = lo = 0
         with np.errstate(over="ignore"):
             while at < len(self.start):  # blocks of whole words; a longer word has a block of its own
@@ -115,7 +115,7 @@ class Words:
                     hi = at + 1
                 lo, top = int(self.start[at]), int(self.end[hi - 1])
                 if top - lo > len(power):
-                    power, back = _powers(_BASE, top - lo), _powers(_INVERSE, top - lo)
+                    power, back = powers(BASE, top - lo), powers(INVERSE, top - lo)
                 total = np.zeros(top - lo + 1, np.uint64)
                 np.cumsum((raw[lo:top].astype(np.uint64) + np.uint64(1)) * power[: top - lo], out=total[1:])
                 s, e = self.start[at:hi] - lo, self.end[at:hi] - lo
@@ -123,8 +123,9 @@ class Words:
                 at = hi
         return out
 
-    def grams(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+    def grams(self, k: int, salt: int = 0) -> tuple[np.ndarray, np.ndarray]:
         """Hash of the k words from each start, and the starts (word indexes) that have k words in their text."""
+        own = mix64(self.hash ^ np.uint64(salt)) if salt else self.hash
         n = len(self.hash) - k + 1
         if n <= 0:
             return np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -133,10 +134,10 @@ class Words:
             if k <= 8:
                 total = np.zeros(n, np.uint64)
                 for i in range(k):
-                    total = (total + self.hash[i : i + n]) * np.uint64(_BASE)
+                    total = (total + own[i : i + n]) * np.uint64(BASE)
                 return mix64(total)[at], at
             # sum of hash * base**position, normalised to the window's start
-            power, back = _powers(_BASE, len(self.hash)), _powers(_INVERSE, len(self.hash))
+            power, back = powers(BASE, len(self.hash)), powers(INVERSE, len(self.hash))
             total = np.zeros(len(self.hash) + 1, np.uint64)
-            np.cumsum(self.hash * power, out=total[1:])
+            np.cumsum(own * power, out=total[1:])
             return mix64((total[k:] - total[:-k]) * back[: len(total) - k])[at], at

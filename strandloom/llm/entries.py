@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandloom.llm import byte_bpe, line_dedup, minhash_dedup, mixing, quality_rules, token_counts, topk_search, warc
+from strandloom.llm import byte_bpe, line_dedup, minhash_dedup, mixing, quality_rules, substring_dedup, token_counts, topk_search, warc
 from strandloom.llm.common import table
 
 
@@ -43,6 +43,10 @@ def op9_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.without_repeats(table(spark, sf_dir, "documents"))
+
+
 OP5 = """
 with p as (select page_id, coalesce(html, '') as h from pages),
 m as (select h, min(page_id) as f from p where strlen(h) >= 100 group by h)
@@ -61,7 +65,7 @@ select query_id, rank, vec_id, score from r where rank <= 10
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op1_minhash_dedup, op2_mixing, op4_token_counts, op5_warc, op6_quality_rules, op7_byte_bpe, op8_line_dedup, op9_topk_search]
+    own = [op1_minhash_dedup, op2_mixing, op4_token_counts, op5_warc, op6_quality_rules, op7_byte_bpe, op8_line_dedup, op9_topk_search, op10_substring_dedup]
     return {f.__name__: f for f in own}
 
 
