@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandloom.llm import byte_bpe, line_dedup, minhash_dedup, mixing, quality_rules, substring_dedup, token_counts, topk_search, warc
+from strandloom.llm import byte_bpe, line_dedup, lm_scoring, minhash_dedup, mixing, quality_rules, substring_dedup, token_counts, topk_search, warc
 from strandloom.llm.common import table
 
 
@@ -19,6 +19,10 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"))
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.scored(table(spark, sf_dir, "documents"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
@@ -65,7 +69,7 @@ select query_id, rank, vec_id, score from r where rank <= 10
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op1_minhash_dedup, op2_mixing, op4_token_counts, op5_warc, op6_quality_rules, op7_byte_bpe, op8_line_dedup, op9_topk_search, op10_substring_dedup]
+    own = [op1_minhash_dedup, op2_mixing, op3_lm_scoring, op4_token_counts, op5_warc, op6_quality_rules, op7_byte_bpe, op8_line_dedup, op9_topk_search, op10_substring_dedup]
     return {f.__name__: f for f in own}
 
 
