@@ -18,7 +18,7 @@ import pyarrow as pa
 import public_tokenizers
 from pyspark.sql import DataFrame
 
-from strandloom.llm.common import columns_of, texts
+from strandloom.llm.common import columns_of, in_arrow, texts
 from strandloom.llm.pretoken import pretokens
 
 #: Bytes up to which a half is encoded directly.
@@ -134,4 +134,4 @@ def encode_decode(docs: DataFrame, vocabulary: str = "byte_bpe_multi_50k.tiktoke
                 out += [pa.array(more[0], pa.list_(pa.int32())), pa.array(more[1], pa.binary())]
             yield pa.RecordBatch.from_arrays(out, [c.split()[0] for c in schema.split(", ")])
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return in_arrow(docs.select("doc_id", "text"), run, schema)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +46,14 @@ def bounded(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+def in_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str, max_rows: int = 2000, max_bytes: str = "8m") -> DataFrame:
+    """df.mapInArrow(run, schema) with batches small enough for two workers beside an executor's heap."""
+    conf = df.sparkSession.conf
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(max_rows))
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", max_bytes)
+    return df.mapInArrow(run, schema)
+
+
 def texts(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """The column's strings; null is the empty text."""
     return [x or "" for x in batch.column(column).to_pylist()]

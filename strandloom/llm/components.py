@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandloom.llm.common import written
+from strandloom.llm.common import in_arrow, written
 
 
 def forest(a: np.ndarray, b: np.ndarray, weight: np.ndarray | None = None) -> np.ndarray:
@@ -44,7 +44,7 @@ def components(links: DataFrame, most_rounds: int = 40) -> DataFrame:
     adaptive execution. Every round ends in a written table. Self links and repeated links are harmless.
     """
     edges = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b")
-    edges = written(edges.mapInArrow(_thin, "a long, b long"))
+    edges = written(in_arrow(edges, _thin, "a long, b long"))
     state = None
     for _ in range(most_rounds):
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))

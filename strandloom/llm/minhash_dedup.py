@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandloom.llm.common import Words, bounded, columns_of, mix64, texts, written
+from strandloom.llm.common import Words, bounded, columns_of, in_arrow, mix64, texts, written
 from strandloom.llm.components import components, forest
 
 #: Samples, of which BANDS * ROWS make the bands, and bits of a sketch.
@@ -121,7 +121,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                 ["doc_id", "n_shingles", "digest", "keys", "sketch"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, digest binary, keys array<long>, sketch binary")
+    return in_arrow(docs.select("doc_id", "text"), run, "doc_id long, n_shingles long, digest binary, keys array<long>, sketch binary")
 
 
 def _whole_groups(batches: Iterator[pa.RecordBatch], by: list[str], most: int = 1 << 15) -> Iterator[pa.Table]:
@@ -229,7 +229,7 @@ def sketch_links(reps: DataFrame, threshold: float) -> DataFrame:
                 keep = forest(a, b, w)
                 yield pa.RecordBatch.from_arrays([pa.array(a[keep], pa.int64()), pa.array(b[keep], pa.int64())], ["a", "b"])
 
-    return rows.select("key", "lo", "hi", "own", "rep", "n_shingles", "sketch").mapInArrow(run, "a long, b long")
+    return in_arrow(rows.select("key", "lo", "hi", "own", "rep", "n_shingles", "sketch"), run, "a long, b long")
 
 
 def exact_links(sets: list[np.ndarray], percent: int, other: list[np.ndarray] | None = None, width: int = 4096) -> tuple[np.ndarray, np.ndarray]:
@@ -269,7 +269,7 @@ def confirmed_links(docs: DataFrame, clusters: DataFrame, percent: int, max_ids_
             ends = np.cumsum([0, *map(len, sets)], dtype=np.int32)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.ListArray.from_arrays(ends, pa.array(np.concatenate(sets)))], ["node", "shingles"])
 
-    sets = members.mapInArrow(sets_of, "node long, shingles array<long>")
+    sets = in_arrow(members, sets_of, "node long, shingles array<long>")
     sizes = clusters.groupBy("component").agg(F.count("*").alias("members"))
     rows = sets.join(clusters.join(sizes, "component"), "node")
     rows = _in_blocks(rows, "component", "members", "node", CLUSTER_BLOCK)
@@ -302,7 +302,7 @@ def confirmed_links(docs: DataFrame, clusters: DataFrame, percent: int, max_ids_
             if lefts:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in (lefts, rights)], ["a", "b"])
 
-    return rows.select("component", "lo", "hi", "own", "node", "shingles").mapInArrow(run, "a long, b long")
+    return in_arrow(rows.select("component", "lo", "hi", "own", "node", "shingles"), run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandloom.llm.common import BASE, INVERSE, Words, bounded, columns_of, mix64, powers, texts, written
+from strandloom.llm.common import BASE, INVERSE, Words, bounded, columns_of, in_arrow, mix64, powers, texts, written
 
 LENGTH, K = 50, 16
 SECOND = 0x51ED270B35A1C3D7
@@ -80,7 +80,7 @@ def sampled_kmers(docs: DataFrame, length: int = LENGTH, k: int = K) -> DataFram
             yield pa.RecordBatch.from_arrays(head + lists, ["doc_id", "row", "n_words", "sha", "node", "at", "edge"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("row"), "text")
-    return rows.mapInArrow(run, "doc_id long, row long, n_words long, sha string, node array<long>, at array<int>, edge array<long>")
+    return in_arrow(rows, run, "doc_id long, row long, n_words long, sha string, node array<long>, at array<int>, edge array<long>")
 
 
 def located(sampled: DataFrame) -> DataFrame:
@@ -147,7 +147,7 @@ def open_windows(held: DataFrame, length: int = LENGTH, k: int = K) -> DataFrame
             if out[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], ["doc_id", "row", "at", "h1", "h2"])
 
-    return held.mapInArrow(run, "doc_id long, row long, at int, h1 long, h2 long")
+    return in_arrow(held, run, "doc_id long, row long, at int, h1 long, h2 long")
 
 
 def removed(held: DataFrame, length: int = LENGTH, k: int = K, with_text: bool = False) -> DataFrame:
@@ -171,7 +171,7 @@ def removed(held: DataFrame, length: int = LENGTH, k: int = K, with_text: bool =
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*out, strict=True)], [c.split()[0] for c in schema.split(", ")])
 
-    return held.mapInArrow(run, schema)
+    return in_arrow(held, run, schema)
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH, k: int = K, with_text: bool = False, max_rows_sent: int = 1_000_000) -> DataFrame:

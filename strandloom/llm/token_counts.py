@@ -16,7 +16,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from strandloom.llm.common import columns_of, texts
+from strandloom.llm.common import columns_of, in_arrow, texts
 from strandloom.llm.pretoken import pretokens
 
 #: Pre-tokens whose counts a worker keeps before it starts afresh, and the longest one kept.
@@ -158,4 +158,4 @@ def token_counts(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", limit:
                 ["doc_id", "n_bytes", "n_tokens", "over_limit"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
+    return in_arrow(docs.select("doc_id", "text"), run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandloom.llm.common import columns_of, written
+from strandloom.llm.common import columns_of, in_arrow, written
 
 #: From this local cosine threshold on coordinates are used; so many of them, the query's largest.
 COORDINATE_FROM, FOCUS = 0.6, 3
@@ -49,7 +49,7 @@ def integer_vectors(vectors: DataFrame, scale: int = 1024) -> DataFrame:
                 norms.append(float(np.sqrt(np.square(np.asarray(own, np.float64)).sum())))
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out, pa.list_(pa.int64())), pa.array(norms, pa.float64())], ["vec_id", "v", "norm"])
 
-    made = vectors.select("vec_id", "embedding").mapInArrow(run, "vec_id long, v array<long>, norm double")
+    made = in_arrow(vectors.select("vec_id", "embedding"), run, "vec_id long, v array<long>, norm double")
     return made.groupBy("vec_id").agg(F.min(F.struct("v", "norm")).alias("_")).select("vec_id", "_.v", "_.norm")
 
 
@@ -168,7 +168,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = 1024,
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows, strict=True)], ["query_id", "vec_id", "score"])
 
-        part = table.mapInArrow(run, "query_id long, vec_id long, score long")
+        part = in_arrow(table, run, "query_id long, vec_id long, score long")
         place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
         part = part.withColumn("rank", place).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
         results.append(part if n_chunks == 1 else written(part))

@@ -18,7 +18,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandloom.llm.common import columns_of, work_folder, written
+from strandloom.llm.common import columns_of, in_arrow, work_folder, written
 
 #: Fixed values of the formats: the dictionary frame's magic number and the shortest payload that is deduplicated.
 SKIPPABLE_DICTIONARY = 0x184D2A5D
@@ -192,7 +192,7 @@ def write_archives(records: DataFrame, folder: str, dictionary: bytes, max_bytes
         if done:
             yield pa.RecordBatch.from_arrays([pa.array([d[i] for d in done]) for i in range(3)], ["path", "records", "bytes"])
 
-    return records.select("page_id", "url", "html", "refers_to").mapInArrow(run, "path string, records long, bytes long")
+    return in_arrow(records.select("page_id", "url", "html", "refers_to"), run, "path string, records long, bytes long")
 
 
 def read_archives(spark: SparkSession, paths: str | list[str], with_payload: bool = False) -> DataFrame:
@@ -221,7 +221,7 @@ def read_archives(spark: SparkSession, paths: str | list[str], with_payload: boo
                 if rows:
                     yield batch(rows)
 
-    return spark.read.format("binaryFile").load(paths).select("content").mapInArrow(run, schema)
+    return in_arrow(spark.read.format("binaryFile").load(paths).select("content"), run, schema)
 
 
 def round_trip(spark: SparkSession, pages: DataFrame, least: int = 100) -> DataFrame:
