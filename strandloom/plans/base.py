@@ -73,7 +73,7 @@ SEQUENCES = "s as (select doc_id as seq_id, regexp_replace(upper(coalesce(text,
 def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events by user in order of time: sequence, pos (minutes), event_id, score."""
     x = table(spark, sf_dir, "events")
-    return x.select(F.concat(F.lit("u"), "user_id").alias("sequence"), F.floor(F.unix_micros("ts") / 60_000_000).cast("long").alias("pos"), "event_id", F.col("value").alias("score"))
+    return x.select(F.concat(F.lit("u"), "user_id").alias("sequence"), F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 60_000_000).cast("long").alias("pos"), "event_id", F.col("value").alias("score"))
 
 
 POSITIONS = "p as (select 'u' || user_id as sequence, (epoch_us(ts) // 60000000)::bigint as pos, event_id, value as score from events)"
