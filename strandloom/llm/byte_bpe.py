@@ -24,7 +24,7 @@ from strandloom.llm.pretoken import pretokens
 #: Bytes up to which a half is encoded directly.
 LEAF = 24
 #: Pieces in a worker's cache before it starts afresh, and the longest piece that goes there.
-CACHE_ENTRIES, CACHE_PIECE = 400_000, 48
+CACHE_ENTRIES, CACHE_PIECE = 200_000, 48
 
 
 class TreeCodec(dict):

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import re
 import tempfile
 import uuid
@@ -51,7 +54,20 @@ def in_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[p
     conf = df.sparkSession.conf
     conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(max_rows))
     conf.set("spark.sql.execution.arrow.maxBytesPerBatch", max_bytes)
-    return df.mapInArrow(run, schema)
+
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        released()
+
+    return df.mapInArrow(tidy, schema)
+
+
+def released() -> None:
+    """Gives freed memory back to the system, as a worker lives on beside the next stages' workers and the JVM."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
 def texts(batch: pa.RecordBatch, column: str = "text") -> list[str]:

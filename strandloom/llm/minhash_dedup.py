@@ -106,7 +106,7 @@ def signatures(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, digest (of the set; null if empty), keys, sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in columns_of(batches, 4 << 20):
+        for batch in columns_of(batches, 2 << 20):
             sets = shingle_sets(texts(batch))
             minima = samples(sets)
             keys, sketches = band_keys(minima), odd_sketches(minima)
@@ -264,7 +264,7 @@ def confirmed_links(docs: DataFrame, clusters: DataFrame, percent: int, max_ids_
     members = docs.select("doc_id", "text").join(bounded(clusters.select(F.col("node").alias("doc_id")), max_ids_sent), "doc_id", "left_semi")
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in columns_of(batches, 4 << 20):
+        for batch in columns_of(batches, 2 << 20):
             sets = [s.view(np.int64) for s in shingle_sets(texts(batch))]
             ends = np.cumsum([0, *map(len, sets)], dtype=np.int32)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.ListArray.from_arrays(ends, pa.array(np.concatenate(sets)))], ["node", "shingles"])

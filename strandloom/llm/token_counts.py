@@ -20,7 +20,7 @@ from strandloom.llm.common import columns_of, in_arrow, texts
 from strandloom.llm.pretoken import pretokens
 
 #: Pre-tokens whose counts a worker keeps before it starts afresh, and the longest one kept.
-CACHE_ENTRIES, CACHE_PIECE = 600_000, 48
+CACHE_ENTRIES, CACHE_PIECE = 300_000, 48
 NONE = np.int32(1 << 30)
 
 
