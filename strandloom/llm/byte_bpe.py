@@ -23,8 +23,8 @@ from strandloom.llm.pretoken import pretokens
 
 #: Bytes up to which a half is encoded directly.
 LEAF = 24
-#: Pieces in a worker's cache before it starts afresh, and the longest piece that goes there.
-CACHE_ENTRIES, CACHE_PIECE = 200_000, 48
+#: Pieces in a worker's cache before it starts afresh, the longest piece that goes there, and pairs known to be stable or not.
+CACHE_ENTRIES, CACHE_PIECE, STABLE_ENTRIES = 150_000, 48, 50_000
 
 
 class TreeCodec(dict):
@@ -63,7 +63,7 @@ class TreeCodec(dict):
 
     def is_stable(self, a: int, b: int) -> bool:
         if (known := self.stable.get((a, b))) is None:
-            if len(self.stable) >= CACHE_ENTRIES:
+            if len(self.stable) >= STABLE_ENTRIES:
                 self.stable.clear()
             known = self.stable[a, b] = self.leaf(self.bytes_of[a] + self.bytes_of[b]) == [a, b]
         return known
@@ -120,7 +120,7 @@ def encode_decode(docs: DataFrame, vocabulary: str = "byte_bpe_multi_50k.tiktoke
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree = codec(public_tokenizers.path(vocabulary))
-        for batch in columns_of(batches, 4 << 20 if with_ids else 16 << 20):
+        for batch in columns_of(batches, 4 << 20):
             rows = []
             for text in texts(batch):
                 packed = tree.encode_text(text)
