@@ -221,7 +221,7 @@ def pairwise_statistic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.groupBy("sequence").agg(F.count("*").alias("n"), F.round(F.sum("score"), 6).alias("distance"))
 
 
-@query("J10_log2_ratio", f"with {TWO} select sequence, start, round(log2(a / b), 6) as score from z where a > 0 and b > 0")
+@query("J10_log2_ratio", f"with {TWO} select sequence, start, round(log2(a / b), 6) + 0.0::double as score from z where a > 0 and b > 0")
 def log2_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return al.compared(*_two(spark, sf_dir)).where(~F.isnan("score")).withColumn("score", F.round("score", 6) + F.lit(0.0))
 
