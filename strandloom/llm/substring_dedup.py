@@ -93,6 +93,7 @@ def located(sampled: DataFrame) -> DataFrame:
     each = sampled.where("doc_id is not null").select("doc_id", "row", F.explode(cells).alias("c")).select("doc_id", "row", "c.at", "c.node", "c.edge", "c.back")
     degree = lambda c: (F.min(c) == F.max(c)) & (F.min(c) != 0)
     nodes = each.groupBy("node").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), degree("edge").alias("next"), degree("back").alias("before")).where("first < last")
+    nodes = written(nodes)  # a join of two exchanges, which adaptive execution can split where a node is very common
     found = each.select("doc_id", "row", "at", "node").join(nodes.drop("last"), "node")
     return found.groupBy("doc_id", "row").agg(F.array_sort(F.collect_set(F.struct("at", "first", "next", "before"))).alias("samples"))
 
@@ -190,6 +191,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, k: int = K, with_text
     held = written(some.join(places, ["doc_id", "row"]))
     open_ = written(open_windows(held, length, k))
     firsts = open_.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
+    firsts = written(firsts)  # so that the join below can split very common windows
     later = open_.join(firsts, ["h1", "h2"]).where("first < doc_id").groupBy("doc_id", "row").agg(F.collect_list("at").alias("repeated"))
     done = removed(held.join(later, ["doc_id", "row"], "left"), length, k, with_text)
     out = sampled.select("doc_id", "row", "n_words", "sha").join(done, ["doc_id", "row"], "left")
