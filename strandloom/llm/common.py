@@ -23,6 +23,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def packed(df: DataFrame, *names: str) -> DataFrame:
+    """df's rows as one struct, _in, beside copies of the named columns, so that no other column's name can clash."""
+    return df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("_in"), *names)
+
+
 def work_folder(spark: SparkSession) -> str:
     """A new folder path in the shared folder named by spark.checkpoint.dir.
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandloom.llm.common import bounded, written
+from strandloom.llm.common import bounded, packed, written
 
 BLANKS = " \t\n\x0b\x0c\r"
 
@@ -38,8 +38,8 @@ def boilerplate(docs: DataFrame, site: str = "source", ratio: float = 0.1, min_p
     return often.groupBy("h._site").agg(F.collect_list("_k").alias("_keys"))
 
 
-def drop_boilerplate(docs: DataFrame, site: str = "source", ratio: float = 0.1, min_pages: int = 10, max_sites_sent: int = 10_000) -> DataFrame:
-    """docs with boilerplate lines taken out of text, then _n_lines and _n_dropped (lines that are not blank).
+def judged_lines(docs: DataFrame, site: str = "source", ratio: float = 0.1, min_pages: int = 10, max_sites_sent: int = 10_000) -> DataFrame:
+    """_in (the row of docs, boilerplate lines taken out of its text), _n_lines and _n_dropped (lines that are not blank).
 
     Null texts stay null with 0 lines; blank lines stay; a text that loses all lines becomes empty, its row stays. Rows
     without a site (null) are a site of their own. Each row is a page: repeated rows count as often as they occur. Sites
@@ -47,20 +47,27 @@ def drop_boilerplate(docs: DataFrame, site: str = "source", ratio: float = 0.1,
     max_sites_sent sites; beyond that it is joined by site, and skewed sites are split by adaptive execution.
     """
     found = bounded(written(boilerplate(docs, site, ratio, min_pages)), max_sites_sent)
-    df = docs.join(found, docs[site].eqNullSafe(found["_site"]), "left").drop("_site")
+    df = packed(docs, "text", F.col(site).alias("_of"))
+    df = df.join(found, df["_of"].eqNullSafe(found["_site"]), "left")
     df = df.withColumn("_l", _lines(F.col("text")))
     stays = lambda x: _blank(x) | ~F.coalesce(F.array_contains("_keys", _key(x)), F.lit(False))
     df = df.withColumn("_s", F.when(F.col("_keys").isNull(), F.col("_l")).otherwise(F.filter("_l", stays)))
     df = df.withColumn("_n_lines", F.size(F.filter("_l", lambda x: ~_blank(x))).cast("long"))
     df = df.withColumn("_n_dropped", (F.size("_l") - F.size("_s")).cast("long"))
     text = F.when(F.col("_n_dropped") == 0, F.col("text")).otherwise(F.array_join("_s", "\n"))
-    return df.select(*(text.alias("text") if c == "text" else F.col(c) for c in docs.columns), "_n_lines", "_n_dropped")
+    return df.select(F.col("_in").withField("text", text).alias("_in"), "_n_lines", "_n_dropped")
+
+
+def drop_boilerplate(docs: DataFrame, **options) -> DataFrame:
+    """docs without its sites' boilerplate lines; see judged_lines."""
+    return judged_lines(docs, **options).select("_in.*")
 
 
 def line_dedup(docs: DataFrame) -> DataFrame:
     """doc_id, n_lines, n_dropped, text_sha256 (lower-case hex of what is left; null: empty) of every row."""
-    out = drop_boilerplate(docs.select("doc_id", "source", "text"))
-    return out.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"), F.sha2(F.encode(F.coalesce("text", F.lit("")), "UTF-8"), 256).alias("text_sha256"))
+    out = judged_lines(docs.select("doc_id", "source", "text"))
+    sha = F.sha2(F.encode(F.coalesce("_in.text", F.lit("")), "UTF-8"), 256).alias("text_sha256")
+    return out.select("_in.doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"), sha)
 
 
 ORACLE = r"""

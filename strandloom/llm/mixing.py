@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandloom.llm.common import bounded, written
+from strandloom.llm.common import bounded, packed, written
 
 #: The largest mean rate, beyond which exp(-rate) comes near the smallest double.
 MAX_RATE = 500.0
@@ -49,28 +49,34 @@ def rates(docs: DataFrame, source: str = "source", weights: dict[str, float] | N
 
 
 def replicated(docs: DataFrame, source: str = "source", weights: dict[str, float] | None = None, power: float = 0.5, epochs: float = 1.0, seed: int = 20, max_sources_sent: int = 10_000) -> DataFrame:
-    """Columns of docs, then _copies, _copy (from 1) and _order, a row for each copy; not shuffled yet.
+    """_in (the row of docs), _copies, _copy (from 1) and _order, a row for each copy; not shuffled yet.
 
     Documents with 0 copies are left out: that is what a rate below 1 means. A null doc_id counts as the id "null", a
     null source is a source of its own, null texts have no bytes. Rows that share an id get equally many copies each.
     """
     found = bounded(written(rates(docs, source, weights, power, epochs)), max_sources_sent)
-    df = docs.join(found, docs[source].eqNullSafe(found["_source"]), "left").drop("_source")
-    name = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
-    u = _number(F.concat(F.lit(f"{seed}:count:"), name), 13) / F.lit(float(1 << 52))
+    df = packed(docs, F.col(source).alias("_of"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("_name"))
+    df = df.join(found, df["_of"].eqNullSafe(found["_source"]), "left")
+    u = _number(F.concat(F.lit(f"{seed}:count:"), "_name"), 13) / F.lit(float(1 << 52))
     df = df.withColumn("_u", u).withColumn("_copies", F.size(F.filter("cdf", lambda c: F.col("_u") >= c)).cast("long"))
     df = df.where("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
-    return df.withColumn("_order", _number(F.concat(F.lit(f"{seed}:order:"), name, F.lit(":"), F.col("_copy").cast("string")), 15)).drop("_u", "rate", "cdf")
+    order = _number(F.concat(F.lit(f"{seed}:order:"), "_name", F.lit(":"), F.col("_copy").cast("string")), 15)
+    return df.select("_in", "_copies", "_copy", order.alias("_order"))
+
+
+def _shuffled(copies: DataFrame) -> DataFrame:
+    """Copies dealt out evenly by _order and sorted by it within partitions."""
+    return copies.repartition("_order").sortWithinPartitions("_order")
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
-    """replicated(), dealt out evenly by _order and sorted by it within partitions: a global shuffle of all copies."""
-    return replicated(docs, **options).repartition("_order").sortWithinPartitions("_order")
+    """All copies, with docs' columns, in a global shuffle; see replicated."""
+    return _shuffled(replicated(docs, **options)).select("_in.*")
 
 
 def mixture(docs: DataFrame) -> DataFrame:
     """doc_id, source, n_copies, copy, shuffle_key of every copy."""
-    out = mixed(docs.select("doc_id", "source", F.coalesce("text", F.lit("")).alias("text")).select("doc_id", "source", "text"))
+    out = _shuffled(replicated(docs.select("doc_id", "source", "text")).select("_in.doc_id", "_in.source", "_copies", "_copy", "_order"))
     return out.select("doc_id", "source", F.col("_copies").alias("n_copies"), F.col("_copy").alias("copy"), F.col("_order").alias("shuffle_key"))
 
 

@@ -13,7 +13,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandloom.llm.common import SPACE, written
+from strandloom.llm.common import SPACE, packed, written
 
 #: What makes each rule vote -1 or 1, in integer arithmetic that every SQL engine does alike.
 RULES = {
@@ -34,7 +34,7 @@ _FEATURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_
 def features(docs: DataFrame) -> DataFrame:
     """Adds n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, n_upper, n_distinct (long). Null: empty.
 
-    The columns come after those of docs under a prefix that with_features strips, so equal names do not clash.
+    The columns come after those of docs, under the prefix _f_.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     df = docs.withColumn("_words", F.filter(F.split(text, f"[{SPACE}]+"), lambda w: w != ""))
@@ -99,7 +99,7 @@ def estimate(counts: DataFrame, rounds: int = ROUNDS) -> list[float]:
 
 
 def judged(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """Columns of docs, then _f_ features, _base_failed, _probability (posterior of being good) and _kept.
+    """_in (the row of docs), text, _f_ features, _base_failed, _probability (posterior of being good) and _kept.
 
     _base_failed: under 10 words, or more than 20 % of the words in repeated 5-word windows. _kept: not _base_failed and
     a posterior of at least the threshold. Null and empty texts have no words and fail. Rows that repeat are judged alike;
@@ -107,7 +107,7 @@ def judged(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     documents that pass the base check. The features are written once in the shared folder and read for both passes.
     """
     failed = (F.col("_f_n_words") < 10) | (100 * F.col("_f_n_repeat_words") > 20 * F.col("_f_n_words"))
-    scored = written(features(docs).withColumn("_v", votes()).withColumn("_base_failed", failed))
+    scored = written(features(packed(docs, "text")).withColumn("_v", votes()).withColumn("_base_failed", failed))
     accuracy = estimate(scored.where("not _base_failed").groupBy(F.col("_v").alias("v")).agg(F.count("*").alias("n")))
     good, bad = F.lit(BALANCE), F.lit(1 - BALANCE)
     for j, a in enumerate(accuracy):
@@ -120,14 +120,14 @@ def judged(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
 
 def quality(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept of every row; see judged."""
-    out = judged(docs.select("doc_id", "text").withColumn("text", F.col("text")))
+    out = judged(docs.select("doc_id", "text"))
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-    return out.select("doc_id", *(F.col(f"_f_{c}").alias(c) for c in names), F.col("_base_failed").alias("base_failed"), F.col("_kept").alias("kept"))
+    return out.select("_in.doc_id", *(F.col(f"_f_{c}").alias(c) for c in names), F.col("_base_failed").alias("base_failed"), F.col("_kept").alias("kept"))
 
 
 def good_documents(docs: DataFrame) -> DataFrame:
     """The rows of docs that are kept, with docs' columns."""
-    return judged(docs).where("_kept").select(*docs.columns)
+    return judged(docs).where("_kept").select("_in.*")
 
 
 def oracle(documents: str = "documents") -> str:
