@@ -68,10 +68,33 @@ select query_id, rank, vec_id, score from r where rank <= 10
 """
 
 
+OP1 = r"""
+with recursive base as (select row_number() over () as r, doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text from documents),
+words as (select r, doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as w from base),
+grams as (select distinct r, doc_id, array_to_string(w[i:i + 4], ' ') as g from (select r, doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) as i from words where len(w) > 0)),
+sizes as (select r, doc_id, count(*) as n from grams group by all),
+shared as (select a.r as x, b.r as y, count(*) as k from grams a join grams b on a.g = b.g and a.r <> b.r group by all),
+links as materialized (select distinct p.doc_id as a, q.doc_id as b from shared join sizes p on p.r = x join sizes q on q.r = y where 100 * k >= 85 * (p.n + q.n - k)),
+reach(id, c) as (select distinct doc_id, doc_id from base where doc_id is not null union select reach.id, links.b from reach join links on links.a = reach.c),
+least as (select id, min(c) as c from reach group by id)
+select base.doc_id, coalesce(sizes.n, 0)::bigint as n_shingles, least.c as component_id, coalesce(base.doc_id = least.c, true) as kept
+from base left join sizes on sizes.r = base.r left join least on least.id = base.doc_id
+"""
+OP10 = r"""
+with base as (select row_number() over () as r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+windows as (select r, doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) as g from (select r, doc_id, w, unnest(range(1, len(w) - 48)) as i from base where len(w) >= 50 and doc_id is not null)),
+firsts as (select g, min(doc_id) as f from windows group by g),
+gone as (select distinct r, i + o as p from windows join firsts using (g), (select unnest(range(0, 50)) as o) where f < doc_id),
+kept as (select base.r, p, w[p] as x from (select r, w, unnest(range(1, len(w) + 1)) as p from base) base left join gone using (r, p) where gone.r is null),
+joined as (select r, string_agg(x, ' ' order by p) as t, count(*) as n from kept group by r)
+select doc_id, len(w)::bigint as n_words, (len(w) - coalesce(n, 0))::bigint as n_removed, sha256(coalesce(t, '')) as kept_sha256 from base left join joined using (r)
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = [op1_minhash_dedup, op2_mixing, op3_lm_scoring, op4_token_counts, op5_warc, op6_quality_rules, op7_byte_bpe, op8_line_dedup, op9_topk_search, op10_substring_dedup]
     return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mixing": mixing.ORACLE, "op5_warc": OP5, "op6_quality_rules": quality_rules.oracle(), "op8_line_dedup": line_dedup.ORACLE, "op9_topk_search": OP9}
+    return {"op1_minhash_dedup": OP1, "op10_substring_dedup": OP10, "op2_mixing": mixing.ORACLE, "op5_warc": OP5, "op6_quality_rules": quality_rules.oracle(), "op8_line_dedup": line_dedup.ORACLE, "op9_topk_search": OP9}
