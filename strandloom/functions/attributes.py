@@ -35,6 +35,11 @@ def attribute(text: Column, key: str) -> Column:
     return F.nullif(F.regexp_extract(text, f"(?:^|;)\\s*{key}=([^;]+)", 1), F.lit(""))
 
 
+def escaped(value: Column) -> Column:
+    """a value with reserved characters as %XX."""
+    return F.replace(F.url_encode(value), F.lit("+"), F.lit("%20"))
+
+
 def attribute_string(attributes: Column) -> Column:
     """K1: key=value tokens in order of key; null for an empty map."""
     entries = F.array_sort(F.map_entries(attributes))

@@ -54,3 +54,9 @@ def reversed_coordinate(x: Column, length: Column) -> Column:
 def same(a: Column, b: Column) -> Column:
     """Equality in which two nulls are equal, letters of either case too."""
     return F.lower(a).eqNullSafe(F.lower(b))
+
+
+def bound(text: Column) -> Column:
+    """a number, or an infinity for -inf and inf (any case); null for anything else."""
+    low = F.lower(F.trim(text))
+    return F.when(low == "-inf", F.lit(float("-inf"))).when(low.isin("inf", "+inf"), F.lit(float("inf"))).otherwise(text.try_cast("double"))

@@ -53,6 +53,19 @@ def call_methylation(reads: DataFrame, bases: DataFrame, conversion: str = "c2t"
     return counts.join(sites, ["seq_id", "pos"]).where("c + t > 0").withColumn("starred", F.col("c") + F.col("t") > many)
 
 
+def call_methylation_of_pairs(reads: DataFrame, bases: DataFrame) -> DataFrame:
+    """M3: seq_id, pos, strand, c, t: /1 reads count at C (c, or t for T), /2 reads at G (c for G, t for A).
+
+    reads: pair_id, mate (1 or 2), seq_id, start, sequence. Positions that both mates of a pair cover count for mate 1 only.
+    """
+    letters = reads.select("pair_id", "mate", "seq_id", F.posexplode(F.split("sequence", "")).alias("i", "letter"), "start").where("letter <> ''")
+    once = letters.groupBy("pair_id", "seq_id", (F.col("start") + F.col("i")).alias("pos")).agg(F.min(F.struct("mate", "letter")).alias("x"))
+    first = F.col("x.mate") == 1
+    kept, converted = F.when(first, "C").otherwise("G"), F.when(first, "T").otherwise("A")
+    counts = once.groupBy("seq_id", "pos", F.when(first, "+").otherwise("-").alias("strand")).agg(F.count_if(F.col("x.letter") == kept).alias("c"), F.count_if(F.col("x.letter") == converted).alias("t"))
+    return counts.join(cytosines(bases).select("seq_id", "pos", "strand"), ["seq_id", "pos", "strand"]).where("c + t > 0")
+
+
 def frequencies(called: DataFrame) -> DataFrame:
     """M2: by context sums of unflagged and of all rows and the share of c."""
     ok = ~F.col("starred")

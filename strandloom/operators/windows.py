@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandloom.functions.intervals import fraction, overlap_length
-from strandloom.operators.rangejoin import overlap_join
+from strandloom.operators.rangejoin import merge_intervals, overlap_join
 
 
 def window_end(position: Column, width: int) -> Column:
@@ -15,7 +15,7 @@ def window_end(position: Column, width: int) -> Column:
 
 
 def scoring(name: str) -> dict[str, Column]:
-    """Named aggregates of the rows of a window (score, c, t, overlap, length)."""
+    """Named aggregates of the rows of a window (score, c, t, overlap, length, and window, its length)."""
     weight = F.col("overlap") / F.col("length")
     c, t = F.sum("c"), F.sum("t")
     return {
@@ -24,10 +24,25 @@ def scoring(name: str) -> dict[str, Column]:
         "average": {"n": F.count("*"), "score": F.avg("score"), "std": F.coalesce(F.stddev_samp("score"), F.lit(0.0)), "var": F.coalesce(F.var_samp("score"), F.lit(0.0))},
         "weighed": {"n": F.count("*"), "score": F.sum(F.col("score") * F.col("overlap")) / F.sum("overlap")},
         "half_weighed": {"n": F.count("*"), "score": F.avg(F.col("score") * weight)},
+        "diluted": {"n": F.count("*"), "score": F.avg(F.col("score") * weight * F.col("overlap") / F.col("window"))},
         "locus": {"n": F.count("*"), "score": F.array_join(F.array_sort(F.collect_set(F.col("id").cast("string"))), ",")},
     }[name]
 
 
+def microarray(pairs: DataFrame) -> DataFrame:
+    """Id, n, score of overlap_join pairs: score times overlap over the window's covered positions; one row: its score."""
+    cut = pairs.select(F.col("r_id").alias("sequence"), F.greatest("start", "r_start").alias("start"), F.least("end", "r_end").alias("end"))
+    covered = merge_intervals(cut).groupBy(F.col("sequence").alias("id")).agg(F.sum(F.col("end") - F.col("start") + 1).alias("covered"))
+    sums = pairs.groupBy(F.col("r_id").alias("id")).agg(F.count("*").alias("n"), F.sum(F.col("score") * F.col("overlap")).alias("s"), F.max("score").alias("only"))
+    return sums.join(covered, "id").select("id", "n", F.when(F.col("n") == 1, F.col("only")).otherwise(F.col("s") / F.col("covered")).alias("score"))
+
+
+def merged_annotation_windows(features: DataFrame, parts: DataFrame, aggs: list[Column], parent: str = "parent") -> DataFrame:
+    """Aggregates of features by the parent of the parts (exons of a gene) they overlap; equal parts count once."""
+    unique = parts.select(F.col(parent).alias("id"), "sequence", "start", "end").distinct()
+    return overlap_join(features, unique).groupBy(F.col("r_id").alias(parent)).agg(*aggs)
+
+
 def fixed_windows(df: DataFrame, width: int, by: tuple[str, ...] = ("sequence", "feature"), lengths: DataFrame | None = None) -> DataFrame:
     """C, t, n and score c / (c + t) of points by tumbling window; only start decides.
 

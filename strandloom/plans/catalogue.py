@@ -23,7 +23,7 @@ def query(name: str, sql: str | None = None) -> Callable:
 
 
 def _load() -> None:
-    from strandloom.plans import intervals, reads, statistics, streams, tables, windows  # noqa: F401
+    from strandloom.plans import intervals, more, reads, statistics, streams, tables, windows  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

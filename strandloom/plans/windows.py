@@ -50,27 +50,29 @@ def sliding_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wi.sliding_windows(features(spark, sf_dir), 100, 25, aggs)
 
 
-def _scored(name: str, sql: str):
+def _scored(op_id: str, name: str, sql: str):
     @query(
-        f"A_window_scoring_{name}",
-        f"""with {FEATURES}, {ANNOTATION}, j as (select f.*, f."end" - f.start + 1 as length, a.id as locus, least(f."end", a."end") - greatest(f.start, a.start) + 1 as overlap
+        f"{op_id}_window_{name}",
+        f"""with {FEATURES}, {ANNOTATION}, j as (select f.*, f."end" - f.start + 1 as length, a.id as locus, a."end" - a.start + 1 as win, least(f."end", a."end") - greatest(f.start, a.start) + 1 as overlap
   from f join a on f.sequence = a.sequence and f.start <= a."end" and f."end" >= a.start) select locus, {sql} from j group by locus""",
     )
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         j = overlap_join(features(spark, sf_dir), annotation(spark, sf_dir)).withColumn("length", F.col("end") - F.col("start") + 1)
+        j = j.withColumn("window", F.col("r_end") - F.col("r_start") + 1)
         out = j.groupBy(F.col("r_id").alias("locus")).agg(*(v.alias(k) for k, v in wi.scoring(name).items()))
-        digits = 10 if name == "average" else 6
+        digits = {"average": 10, "diluted": 8}.get(name, 6)
         return out.select(*(F.round(c, digits).alias(c) if k == "double" else F.col(c) for c, k in out.dtypes))
 
     return run
 
 
-_scored("sum", "count(*) as n, round(sum(score), 6) as score")
-_scored("meth", "count(*) as n, sum(c)::bigint as c, sum(t)::bigint as t, round(sum(c) * 1.0 / (sum(c) + sum(t)), 6) as score")
-_scored("average", "count(*) as n, round(avg(score), 10) as score, round(coalesce(stddev_samp(score), 0), 10) as std, round(coalesce(var_samp(score), 0), 10) as var")
-_scored("weighed", "count(*) as n, round(sum(score * overlap) / sum(overlap), 6) as score")
-_scored("half_weighed", "count(*) as n, round(avg(score * overlap / length), 6) as score")
-_scored("locus", "count(*) as n, list_aggregate(list_sort(list_distinct(list(id::varchar))), 'string_agg', ',') as score")
+_scored("A1", "sum", "count(*) as n, round(sum(score), 6) as score")
+_scored("A2", "meth", "count(*) as n, sum(c)::bigint as c, sum(t)::bigint as t, round(sum(c) * 1.0 / (sum(c) + sum(t)), 6) as score")
+_scored("A3", "average", "count(*) as n, round(avg(score), 10) as score, round(coalesce(stddev_samp(score), 0), 10) as std, round(coalesce(var_samp(score), 0), 10) as var")
+_scored("A6", "weighed", "count(*) as n, round(sum(score * overlap) / sum(overlap), 6) as score")
+_scored("A6", "half_weighed", "count(*) as n, round(avg(score * overlap / length), 6) as score")
+_scored("A4", "diluted", "count(*) as n, round(avg(score * overlap / length * overlap / win), 8) as score")
+_scored("A5", "locus", "count(*) as n, list_aggregate(list_sort(list_distinct(list(id::varchar))), 'string_agg', ',') as score")
 
 
 @query("W6_explode_windows", f"""with {FEATURES}, x as (select *, unnest(range((start - 1) // 10, ("end" - 1) // 10 + 1)) as k, ("end" - 1) // 10 - (start - 1) // 10 + 1 as m from f)

@@ -264,6 +264,21 @@ def solexa_to_phred(quality: Column) -> Column:
     return F.array_join(F.transform(F.split(quality, ""), lambda q: F.char(to(q))), "")
 
 
+def parse_placed_reads(df: DataFrame, genome: DataFrame) -> DataFrame:
+    """Chromosome, strand, start, end, sequence lines of an external aligner as correlated reads with their target.
+
+    genome: seq_id, sequence. Rows without a strand and the header line, which has no number, are left out. Reads on - are reversed and their target is reversed and complemented.
+    """
+    p = F.split(F.regexp_replace("value", "[\r\n]", ""), "\t")
+    cell = lambda i: F.get(p, F.lit(i))
+    rows = df.where((F.size(p) >= 5) & cell(2).rlike(r"^\d+$") & cell(1).isin("+", "-"))
+    rows = rows.select(cell(0).alias("seq_id"), cell(1).alias("strand"), cell(2).cast("bigint").alias("start"), cell(3).cast("bigint").alias("end"), cell(4).alias("read"))
+    minus, n = F.col("strand") == "-", F.length("read")
+    part = sq.subsequence(F.col("sequence"), F.col("start"), F.col("start") + n + 3)
+    out = rows.join(genome.select("seq_id", "sequence"), "seq_id")
+    return out.select("seq_id", "start", "end", "strand", F.when(minus, F.reverse("read")).otherwise(F.col("read")).alias("read"), F.when(minus, sq.reverse_complement(part)).otherwise(part).alias("target"))
+
+
 def window_width(df: DataFrame, rows: int = 100) -> DataFrame:
     """The width that the first rows share, but for the last of them; null if they don't."""
     first = df.orderBy("sequence", "start").limit(rows + 1).withColumn("_w", F.col("end") - F.col("start") + 1)
