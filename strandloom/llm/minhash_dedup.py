@@ -6,7 +6,8 @@
 2. Documents with equal sets become one class; only one of each goes on.
 3. Classes that share a band are compared by their sketches, in blocks, and links that the estimate allows are thinned to
    a forest, whose components are candidate clusters: every true link is inside one.
-4. Within clusters the full sets are compared, in blocks too; confirmed links make the components.
+4. Within clusters the full sets are compared, in blocks too; confirmed links make the components. A cluster of several
+   blocks is compared within blocks first, and across them only where its members are not connected yet.
 No step returns all pairs of a group: from each block only links that connect something are kept.
 """
 
@@ -259,50 +260,84 @@ def exact_links(sets: list[np.ndarray], percent: int, other: list[np.ndarray] |
     return np.nonzero(linked)
 
 
-def confirmed_links(docs: DataFrame, clusters: DataFrame, percent: int, max_ids_sent: int = 2_000_000) -> DataFrame:
-    """a, b: a forest of each block's links within clusters (node, component), confirmed on full sets."""
+def member_sets(docs: DataFrame, clusters: DataFrame, max_ids_sent: int = 2_000_000) -> DataFrame:
+    """node, shingles of the documents in clusters (node, component)."""
     members = docs.select("doc_id", "text").join(bounded(clusters.select(F.col("node").alias("doc_id")), max_ids_sent), "doc_id", "left_semi")
 
-    def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in columns_of(batches, 2 << 20):
             sets = [s.view(np.int64) for s in shingle_sets(texts(batch))]
             ends = np.cumsum([0, *map(len, sets)], dtype=np.int32)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.ListArray.from_arrays(ends, pa.array(np.concatenate(sets)))], ["node", "shingles"])
 
-    sets = in_arrow(members, sets_of, "node long, shingles array<long>")
-    sizes = clusters.groupBy("component").agg(F.count("*").alias("members"))
-    rows = sets.join(clusters.join(sizes, "component"), "node")
-    rows = _in_blocks(rows, "component", "members", "node", CLUSTER_BLOCK)
+    return in_arrow(members, run, "node long, shingles array<long>")
+
+
+def links_of_blocks(rows: DataFrame, percent: int) -> DataFrame:
+    """a, b: a forest of the links within each block (component, lo, hi) of node, shingles, side.
+
+    Rows of side 0 are compared with each other if there are no others, else with those of side 1.
+    """
     by = ["component", "lo", "hi"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _whole_groups(batches, by, 4096):
-            ids, own, lo, hi = (table.column(c).to_numpy() for c in ("node", "own", "lo", "hi"))
+            ids, side = table.column("node").to_numpy(), table.column("side").to_numpy()
             cells = table.column("shingles").combine_chunks()
             flat, ends = cells.values.to_numpy(), cells.offsets.to_numpy()
             sets = [flat[x:y] for x, y in zip(ends, ends[1:], strict=False)]
             cuts, lefts, rights = _starts(table, by), [], []
             for s, e in zip(cuts, cuts[1:], strict=False):
-                if e - s < 2:
+                mine = np.arange(s, e)
+                first, second = mine[side[s:e] == 0], mine[side[s:e] == 1]
+                if not len(first) or e - s < 2:
                     continue
-                if lo[s] == hi[s]:
-                    first = second = np.arange(s, e)
-                    i, j = exact_links([sets[x] for x in first], percent)
-                else:
-                    mine = np.arange(s, e)
-                    first, second = mine[own[s:e] == lo[s]], mine[own[s:e] == hi[s]]
-                    if not len(first) or not len(second):
-                        continue
-                    i, j = exact_links([sets[x] for x in first], percent, [sets[x] for x in second])
+                i, j = exact_links([sets[x] for x in first], percent, [sets[x] for x in second] if len(second) else None)
                 if len(i):
-                    a, b = ids[first[i]], ids[second[j]]
+                    a, b = ids[first[i]], ids[(second if len(second) else first)[j]]
                     keep = forest(a, b)
                     lefts.append(a[keep])
                     rights.append(b[keep])
             if lefts:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in (lefts, rights)], ["a", "b"])
 
-    return in_arrow(rows.select("component", "lo", "hi", "own", "node", "shingles"), run, "a long, b long")
+    rows = rows.repartition(*by).sortWithinPartitions(*by).select(*by, "side", "node", "shingles")
+    return in_arrow(rows, run, "a long, b long")
+
+
+def confirmed_links(docs: DataFrame, clusters: DataFrame, percent: int) -> DataFrame:
+    """a, b: links confirmed on full sets that connect all that links within clusters (node, component) connect.
+
+    A cluster of one block is compared as a whole. A larger one is first dealt into blocks by two different hashes and
+    compared within these, which gathers a tight cluster's members in one component; then only the members outside its
+    cluster's largest component are compared with all members, in pairs of blocks.
+    """
+    block = CLUSTER_BLOCK
+    sizes = clusters.groupBy("component").agg(F.count("*").alias("members"))
+    rows = member_sets(docs, clusters).join(clusters.join(sizes, "component"), "node")
+    many = sizes.where(F.col("members") > block).limit(1).count() > 0
+    rows = written(rows) if many else rows
+    blocks = F.ceil(F.col("members") / block)
+    dealt = lambda df, turn, n: F.pmod(F.xxhash64("node", F.lit(turn)), n).cast("int")
+    whole = lambda df, turn: df.withColumns({"lo": dealt(df, turn, blocks), "hi": F.lit(turn), "side": F.lit(0)})
+    links = links_of_blocks(whole(rows, 0), percent)
+    if not many:
+        return links
+    large = rows.where(F.col("members") > block)
+    links = written(links.union(links_of_blocks(whole(large, 1), percent)))
+    found = components(links)
+    label = F.coalesce("label", "node")
+    at = large.select("node", "component", "members").distinct().join(found.select("node", F.col("component").alias("label")), "node", "left").withColumn("label", label)
+    parts = at.groupBy("component", "label").agg(F.count("*").alias("n"))
+    main = parts.groupBy("component").agg(F.max_by("label", F.struct("n", "label")).alias("main"), (F.sum("n") - F.max("n")).alias("outside")).where("outside > 0")
+    at = written(at.join(main, "component").select("node", "label", "main", "outside"))
+    large = large.join(at, "node")
+    others = F.ceil(F.col("outside") / block)
+    all_of = lambda n: F.explode(F.sequence(F.lit(0), (n - 1).cast("int")))
+    outside = large.where("label <> main").withColumns({"lo": dealt(large, 2, others), "side": F.lit(0)}).withColumn("hi", all_of(blocks))
+    every = large.withColumns({"hi": dealt(large, 3, blocks), "side": F.lit(1)}).withColumn("lo", all_of(others))
+    cells = ("component", "lo", "hi", "side", "node", "shingles")
+    return links.union(links_of_blocks(outside.select(*cells).union(every.select(*cells)), percent))
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
