@@ -16,6 +16,7 @@ def spark():
     conf = {
         "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.sql.session.timeZone": "UTC",
         "spark.checkpoint.dir": tempfile.mkdtemp(prefix="strandloom-test-"), "spark.driver.memory": "4g",
+        "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="strandloom-test-"),
     }
     session = SparkSession.builder.master("local[4]").appName("tests").config(map=conf).getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
@@ -24,4 +25,5 @@ def spark():
 
 
 def rows(df):
-    return sorted(tuple(r) for r in df.collect())
+    """Sorted tuples, nulls last."""
+    return sorted((tuple(r) for r in df.collect()), key=lambda r: [(x is None, x) for x in r])
