@@ -2,6 +2,10 @@
 
 An interval goes to every bin it touches, both sides meet on (sequence, bin), and a pair is kept only in the bin of its
 first shared position, so each pair appears once. Bins split a sequence with very many rows; adaptive execution splits bins.
+
+Where some intervals are far longer than most, bins come in levels, each 16 times as wide as the one before. An interval
+belongs to the level at which it touches a few bins, goes to the bins of that and all wider levels, and two intervals meet
+at the wider one's level. So a chromosome-long interval takes a few rows, not a row for each bin below it.
 """
 
 from __future__ import annotations
@@ -12,10 +16,31 @@ from pyspark.sql import functions as F
 from strandloom.functions.intervals import overlap_length
 
 
-def bin_width(df: DataFrame, start: str = "start", end: str = "end", least: int = 16) -> int:
-    """About the longest interval of nearly all, so that an interval touches two bins or so."""
-    row = df.select(F.percentile_approx(F.col(end) - F.col(start) + 1, 0.95, 1000)).first()[0]
-    return max(least, int(row or least))
+def bin_widths(left: DataFrame, right: DataFrame, least: int = 16, most_bins: int = 64, factor: int = 16) -> list[int]:
+    """Widths of the levels: the first about the longest of nearly all of right's intervals, the last for the longest of all."""
+    length = F.col("_high") - F.col("_low") + 1
+    row = right.select(F.percentile_approx(length, 0.95, 1000), F.max(length)).first()
+    longest = max(row[1] or 1, left.select(F.max(F.col("end") - F.col("start") + 1)).first()[0] or 1)
+    widths = [max(least, int(row[0] or least))]
+    while widths[-1] * most_bins < longest:
+        widths.append(widths[-1] * factor)
+    return widths
+
+
+def _binned(df: DataFrame, low: str, high: str, widths: list[int], name: str) -> DataFrame:
+    """A row for each bin: <name>bin (level and number) and <name>own, the row's own level."""
+    length = F.col(high) - F.col(low) + 1
+    own = F.lit(len(widths) - 1)
+    for k in range(len(widths) - 2, -1, -1):
+        own = F.when(length <= 4 * widths[k], k).otherwise(own)
+    width = F.array(*(F.lit(w) for w in widths))
+
+    def bins(k: Column) -> Column:
+        w = F.get(width, k)
+        return F.transform(F.sequence(F.floor(F.col(low) / w).cast("long"), F.floor(F.col(high) / w).cast("long")), lambda x: F.struct(k.alias("level"), x.alias("number")))
+
+    levels = F.flatten(F.transform(F.sequence(own, F.lit(len(widths) - 1)), bins))
+    return df.where(F.col(low) <= F.col(high)).withColumn(f"{name}own", own).withColumn(f"{name}bin", F.explode(levels))
 
 
 def overlap_join(left: DataFrame, right: DataFrame, how: str = "inner", extend: tuple[int, int] = (0, 0), width: int | None = None) -> DataFrame:
@@ -37,21 +62,22 @@ def overlap_join(left: DataFrame, right: DataFrame, how: str = "inner", extend:
         else:
             low, high = low - up, high + down
     right = right.withColumn("_low", low).withColumn("_high", high)
-    w = width or bin_width(right, "_low", "_high")
-    div = lambda c: F.floor(c / w).cast("long")
-    a = left.where("start <= end").withColumn("_bin", F.explode(F.sequence(div(F.col("start")), div(F.col("end")))))
-    b = right.where("_low <= _high").withColumn("_bin", F.explode(F.sequence(div(F.col("_low")), div(F.col("_high")))))
-    b = b.withColumnRenamed("_bin", "_other")
-    match = (F.col("sequence") == F.col("r_sequence")) & (F.col("_bin") == F.col("_other")) & (F.col("start") <= F.col("_high")) & (F.col("end") >= F.col("_low"))
-    match &= F.col("_bin") == div(F.greatest(F.col("start"), F.col("_low")))
+    widths = [width] if width else bin_widths(left, right)
+    a, b = _binned(left, "start", "end", widths, "_a"), _binned(right, "_low", "_high", widths, "_b")
+    level = F.col("_abin.level")
+    at = F.floor(F.greatest(F.col("start"), F.col("_low")) / F.get(F.array(*(F.lit(w) for w in widths)), level)).cast("long")
+    match = (F.col("sequence") == F.col("r_sequence")) & (F.col("_abin") == F.col("_bbin")) & (F.col("start") <= F.col("_high")) & (F.col("end") >= F.col("_low"))
+    match &= (level == F.greatest("_aown", "_bown")) & (F.col("_abin.number") == at)
+    inner = ("_low", "_high", "_abin", "_bbin", "_aown", "_bown")
     overlap = overlap_length(F.col("start"), F.col("end"), F.col("_low"), F.col("_high"))
     if how == "inner":
-        return a.join(b, match).withColumn("overlap", overlap).drop("_low", "_high", "_bin", "_other")
+        return a.join(b, match).withColumn("overlap", overlap).drop(*inner)
     if how == "left":
         # one pass: a row without a pair keeps the first of its bins
         pairs = a.join(b, match, "left").withColumn("_hits", F.count("_low").over(Window.partitionBy("_row")))
-        pairs = pairs.where(F.col("_low").isNotNull() | ((F.col("_hits") == 0) & (F.col("_bin") == div(F.col("start")))))
-        return pairs.withColumn("overlap", F.when(F.col("_low").isNotNull(), overlap)).drop("_low", "_high", "_bin", "_other", "_row", "_hits")
+        home = (level == F.col("_aown")) & (F.col("_abin.number") == F.floor(F.col("start") / F.get(F.array(*(F.lit(w) for w in widths)), level)))
+        pairs = pairs.where(F.col("_low").isNotNull() | ((F.col("_hits") == 0) & home))
+        return pairs.withColumn("overlap", F.when(F.col("_low").isNotNull(), overlap)).drop(*inner, "_row", "_hits")
     raise ValueError(f"how must be inner or left, not {how}")
 
 

@@ -40,12 +40,16 @@ def test_invert_keeps_the_last_base(spark):
 @given(st.integers(0, 10**6))
 def test_overlap_join_equals_the_plain_join(spark, seed):
     r = random.Random(seed)
-    side = lambda n: [(r.choice("ab"), s := r.randint(1, 300), s + r.choice([0, 1, 5, 90])) for _ in range(n)]
+    # some so long that bins come in levels
+    side = lambda n: [(r.choice("ab"), s := r.randint(1, 300), s + r.choice([0, 1, 5, 90, 90, r.choice([3000, 10**6])])) for _ in range(n)]
     left, right = side(60), side(40)
     want = sorted((*x, *y[1:], min(x[2], y[2]) - max(x[1], y[1]) + 1) for x in left for y in right if x[0] == y[0] and x[1] <= y[2] and x[2] >= y[1])
     got = rj.overlap_join(frame(spark, left), frame(spark, right)).select("sequence", "start", "end", "r_start", "r_end", "overlap")
     assert rows(got) == want
     flags = rows(rj.overlap_exists(frame(spark, left), frame(spark, right)))
+    kept = rj.overlap_join(frame(spark, left), frame(spark, right), "left")
+    alone = sum(not any(x[0] == y[0] and x[1] <= y[2] and x[2] >= y[1] for y in right) for x in left)
+    assert kept.count() == len(want) + alone and kept.where("r_start is null").count() == alone
     assert flags == sorted((*x, any(x[0] == y[0] and x[1] <= y[2] and x[2] >= y[1] for y in right)) for x in left)
 
 
