@@ -8,10 +8,42 @@ from pyspark.sql import functions as F
 from strandloom.functions import sequence as sq
 
 
+def pieces(seqs: DataFrame, before: int = 0, after: int = 0, size: int = 128) -> DataFrame:
+    """seq_id, offset, lead, body, piece: sequences in bodies of ``size`` letters, with letters from both neighbours around.
+
+    offset: letters before the body; lead: how many letters of the piece come before it. Picking letters by place walks
+    from a string's start, so whole contigs must not be searched that way: work on pieces is linear in the contig.
+    """
+    chunks = F.regexp_extract_all("sequence", F.lit(f"(?s).{{1,{size}}}"), 0)
+    rows = seqs.select("seq_id", chunks.alias("_c")).select(
+        "seq_id",
+        F.explode(
+            F.transform(
+                "_c",
+                lambda c, i: F.struct(
+                    (i.cast("long") * size).alias("offset"),
+                    F.coalesce(F.right(F.get("_c", i - 1), F.lit(before)), F.lit("")).alias("left"),
+                    c.alias("body"),
+                    F.coalesce(F.left(F.get("_c", i + 1), F.lit(after)), F.lit("")).alias("right"),
+                ),
+            )
+        ).alias("x"),
+    )
+    return rows.select("seq_id", "x.offset", F.length("x.left").alias("lead"), F.length("x.body").alias("body"), F.concat("x.left", "x.body", "x.right").alias("piece"))
+
+
+def _words(k: int) -> Column:
+    """All words of k letters that start in a piece's body."""
+    return F.expr(f"transform(sequence(1, greatest(least(body, length(piece) - {k - 1}), 1)), i -> substring(piece, i, {k}))")
+
+
+def _pieces_of_words(seqs: DataFrame, k: int) -> DataFrame:
+    return pieces(seqs, 0, k - 1).where(F.length("piece") >= k)
+
+
 def kmers(seqs: DataFrame, k: int) -> DataFrame:
-    """Counts of all words of k letters (word, n), counted in each sequence before the shuffle."""
-    words = F.explode(F.expr(f"if(length(sequence) >= {k}, transform(sequence(1, greatest(length(sequence) - {k - 1}, 1)), i -> substring(sequence, i, {k})), array())"))
-    return seqs.select(words.alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    """Counts of all words of k letters (word, n), with partial counts before the shuffle."""
+    return _pieces_of_words(seqs, k).select(F.explode(_words(k)).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
 
 
 def observed_expected(seqs: DataFrame, k: int) -> DataFrame:
@@ -26,18 +58,17 @@ def observed_expected(seqs: DataFrame, k: int) -> DataFrame:
 
 def adapters(reads: DataFrame, k: int, top: int) -> DataFrame:
     """The most frequent words of k letters: in all, and in how many reads."""
-    words = F.expr(f"if(length(sequence) >= {k}, transform(sequence(1, greatest(length(sequence) - {k - 1}, 1)), i -> substring(sequence, i, {k})), array())")
-    each = reads.select("seq_id", F.explode(words).alias("word")).groupBy("seq_id", "word").agg(F.count("*").alias("n"))
+    each = _pieces_of_words(reads, k).select("seq_id", F.explode(_words(k)).alias("word")).groupBy("seq_id", "word").agg(F.count("*").alias("n"))
     return each.groupBy("word").agg(F.sum("n").alias("n"), F.count("*").alias("reads")).orderBy(F.desc("reads"), F.desc("n"), "word").limit(top)
 
 
 def cytosines(seqs: DataFrame) -> DataFrame:
     """M5, M6: seq_id, pos, strand, context of every C of both strands."""
-    n = F.length("sequence")
-    rows = seqs.where(n > 0).select("seq_id", "sequence", F.explode(F.expr("filter(sequence(1, length(sequence)), i -> substring(sequence, i, 1) in ('C', 'G'))")).alias("pos"))
-    base = F.expr("substring(sequence, pos, 1)")
-    tri = F.when(base == "C", F.expr("substring(sequence, pos, 3)")).otherwise(sq.reverse_complement(F.expr("substring(sequence, greatest(pos - 2, 1), least(pos, 3))")))
-    return rows.select("seq_id", "pos", F.when(base == "C", "+").otherwise("-").alias("strand"), sq.context(tri).alias("context"), tri.alias("triplet"))
+    rows = pieces(seqs, 2, 2).select("seq_id", "offset", "lead", "piece", F.expr("explode(filter(sequence(1, body), i -> substring(piece, i + lead, 1) in ('C', 'G')))").alias("i"))
+    at = F.col("i") + F.col("lead")
+    base = F.substring("piece", at, F.lit(1))
+    tri = F.when(base == "C", F.substring("piece", at, F.lit(3))).otherwise(sq.reverse_complement(F.substring("piece", F.greatest(at - 2, F.lit(1)), F.least(at, F.lit(3)))))
+    return rows.select("seq_id", (F.col("offset") + F.col("i")).cast("int").alias("pos"), F.when(base == "C", "+").otherwise("-").alias("strand"), sq.context(tri).alias("context"), tri.alias("triplet"))
 
 
 def call_methylation(reads: DataFrame, bases: DataFrame, conversion: str = "c2t", many: int = 20) -> DataFrame:
@@ -182,11 +213,12 @@ def mates_agree(a: DataFrame, b: DataFrame) -> DataFrame:
 def match_positions(seqs: DataFrame, word: str) -> DataFrame:
     """All (also overlapping) matches of a word on both strands: seq_id, start, end, strand."""
     n = len(word)
-    at = lambda w: F.expr(f"filter(transform(sequence(1, greatest(length(sequence) - {n - 1}, 1)), i -> if(substring(sequence, i, {n}) = '{w}', i, null)), i -> i is not null)")
     rc = word.translate(str.maketrans("ACGT", "TGCA"))[::-1]
-    hits = F.concat(F.transform(at(word), lambda i: F.struct(i.alias("start"), F.lit("+").alias("strand"))), F.transform(at(rc), lambda i: F.struct(i.alias("start"), F.lit("-").alias("strand"))))
-    rows = seqs.select("seq_id", F.explode(hits).alias("h"))
-    return rows.select("seq_id", "h.start", (F.col("h.start") + n - 1).alias("end"), "h.strand")
+    x = F.expr(f"explode(filter(transform(sequence(1, body), i -> struct(i, substring(piece, i, {n}) as w)), x -> x.w in ('{word}', '{rc}')))")
+    rows = _pieces_of_words(seqs, n).select("seq_id", "offset", x.alias("x"))
+    strands = F.filter(F.array(F.when(F.col("x.w") == word, "+"), F.when(F.col("x.w") == rc, "-")), lambda s: s.isNotNull())
+    start = (F.col("offset") + F.col("x.i")).cast("int")
+    return rows.select("seq_id", start.alias("start"), (start + n - 1).alias("end"), F.explode(strands).alias("strand"))
 
 
 def ordered_reads(reads: DataFrame, key: str = "read_id") -> DataFrame:

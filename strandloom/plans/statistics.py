@@ -38,10 +38,9 @@ def exon_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 select seq_id, k::int as k, len(b) - len(replace(b, 'A', '')) as a, len(b) - len(replace(b, 'C', '')) as c, len(b) - len(replace(b, 'G', '')) as g, len(b) - len(replace(b, 'T', '')) as t from x""",
 )
 def base_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = sequences(spark, sf_dir)
-    w = s.withColumn("k", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(1), F.ceil(F.col("length") / 500)).cast("int") - 1)))
-    b = F.substring("sequence", F.col("k") * 500 + 1, F.lit(500))
-    return w.select("seq_id", "k", *(rd.matched_letters(b, x).cast("bigint").alias(x.lower()) for x in "ACGT"))
+    w = sequences(spark, sf_dir).select("seq_id", F.posexplode_outer(F.regexp_extract_all("sequence", F.lit("(?s).{1,500}"), 0)).alias("k", "b"))
+    w = w.select("seq_id", F.coalesce("k", F.lit(0)).alias("k"), F.coalesce("b", F.lit("")).alias("b"))
+    return w.select("seq_id", "k", *(rd.matched_letters(F.col("b"), x).cast("bigint").alias(x.lower()) for x in "ACGT"))
 
 
 KMERS = f"{SEQUENCES}, k as (select substr(sequence, i, 2) as word from (select sequence, unnest(range(1, length)) as i from s where length >= 2)), c as (select word, count(*) as n from k group by 1)"
