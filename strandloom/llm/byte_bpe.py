@@ -24,7 +24,7 @@ from strandloom.llm.pretoken import pretokens
 #: Bytes up to which a half is encoded directly.
 LEAF = 24
 #: Pieces in a worker's cache before it starts afresh, the longest piece that goes there, and pairs known to be stable or not.
-CACHE_ENTRIES, CACHE_PIECE, STABLE_ENTRIES = 150_000, 48, 50_000
+CACHE_ENTRIES, CACHE_PIECE, STABLE_ENTRIES = 300_000, 48, 50_000
 
 
 class TreeCodec(dict):
