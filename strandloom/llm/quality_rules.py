@@ -13,7 +13,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandloom.llm.common import SPACE, packed, written
+from strandloom.llm.common import SPACE, written
 
 #: What makes each rule vote -1 or 1, in integer arithmetic that every SQL engine does alike.
 RULES = {
@@ -98,8 +98,8 @@ def estimate(counts: DataFrame, rounds: int = ROUNDS) -> list[float]:
     return list(counts.agg(F.array_sort(F.collect_list(F.struct("v", F.col("n").cast("double").alias("n")))).alias("patterns")).select(F.expr(em).alias("s")).first().s)
 
 
-def judged(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """_in (the row of docs), text, _f_ features, _base_failed, _probability (posterior of being good) and _kept.
+def judged(docs: DataFrame, keep: list[str], threshold: float = 0.5) -> DataFrame:
+    """_in (the columns to keep of docs), _f_ features, _base_failed, _probability (posterior of being good) and _kept.
 
     _base_failed: under 10 words, or more than 20 % of the words in repeated 5-word windows. _kept: not _base_failed and
     a posterior of at least the threshold. Null and empty texts have no words and fail. Rows that repeat are judged alike;
@@ -107,7 +107,8 @@ def judged(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     documents that pass the base check. The features are written once in the shared folder and read for both passes.
     """
     failed = (F.col("_f_n_words") < 10) | (100 * F.col("_f_n_repeat_words") > 20 * F.col("_f_n_words"))
-    scored = written(features(packed(docs, "text")).withColumn("_v", votes()).withColumn("_base_failed", failed))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in keep)).alias("_in"), "text")
+    scored = written(features(rows).drop("text").withColumn("_v", votes()).withColumn("_base_failed", failed))
     accuracy = estimate(scored.where("not _base_failed").groupBy(F.col("_v").alias("v")).agg(F.count("*").alias("n")))
     good, bad = F.lit(BALANCE), F.lit(1 - BALANCE)
     for j, a in enumerate(accuracy):
@@ -120,14 +121,14 @@ def judged(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
 
 def quality(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept of every row; see judged."""
-    out = judged(docs.select("doc_id", "text"))
+    out = judged(docs, ["doc_id"])
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     return out.select("_in.doc_id", *(F.col(f"_f_{c}").alias(c) for c in names), F.col("_base_failed").alias("base_failed"), F.col("_kept").alias("kept"))
 
 
 def good_documents(docs: DataFrame) -> DataFrame:
     """The rows of docs that are kept, with docs' columns."""
-    return judged(docs).where("_kept").select("_in.*")
+    return judged(docs, docs.columns).where("_kept").select("_in.*")
 
 
 def oracle(documents: str = "documents") -> str:
