@@ -1,6 +1,7 @@
 """Exact top-k inner products by norm-bucketed retrieval.
 
-Vectors are range-partitioned and sorted by length, so that every slice of a task's rows is a bucket of similar lengths.
+Vectors are range-partitioned and sorted by length, so that most slices of a task's rows are buckets of similar lengths.
+As a task may read several files of the table, a slice may also span two ranges; each is sorted again before it is used.
 For a query with k-th best score t so far, a bucket whose longest vector has length m is left out if |q| * m < t. Else
 its local cosine threshold t / (|q| * m) chooses the pruning: a high one restricts a few coordinates of the unit vectors
 (coordinate pruning), a low one cuts the bucket at the shortest length that can reach t (length pruning). What is left is
@@ -90,7 +91,10 @@ class Best:
             self.found[query] = own
 
     def bucket(self, ids: np.ndarray, matrix: np.ndarray, norm: np.ndarray) -> None:
-        """ids, matrix and norm of a bucket's rows, by ascending norm."""
+        """ids, matrix and norm of a bucket's rows, in any order."""
+        if (np.diff(norm) < 0).any():
+            order = np.argsort(norm, kind="stable")
+            ids, matrix, norm = ids[order], matrix[order], norm[order]
         longest = norm[-1]
         threshold = self.floor.astype(np.float64)
         reach = self.norm * longest

@@ -422,6 +422,33 @@ def test_repeats_of_odd_rows(spark, odd):
     assert substring_dedup.without_repeats(odd.limit(0)).count() == 0
 
 
+def test_top_k_where_batches_span_files(spark):
+    """Many small files of lengths from 0 to 1000, several of which one task reads, so that a batch's rows are out of order."""
+    rng = np.random.default_rng(5)
+    v = rng.normal(size=(20_000, 4))
+    v *= (1000 * rng.random(20_000) ** 8 / np.linalg.norm(v, axis=1))[:, None]
+    v = v.astype(np.float32)
+    df = spark.createDataFrame(list(enumerate(v.tolist())), "vec_id long, embedding array<float>")
+    ints = np.floor(1024 * v.astype(np.float64)).astype(np.int64)
+    want = []
+    for q in range(0, 20_000, 200):
+        scores = ints @ ints[q]
+        scores[q] = -(1 << 62)
+        want += [(q, n, int(i), int(scores[i])) for n, i in enumerate(np.lexsort((np.arange(20_000), -scores))[:10], 1)]
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        assert rows(topk_search.top_k(df, F.col("vec_id") % 200 == 0)) == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_top_k_bucket_in_any_order():
+    matrix = np.array([[900.0, 0], [1, 0], [0, 2], [3, 0]])
+    best = topk_search.Best(np.array([99]), np.array([[5.0, 0]]), np.array([100.0]), 1)
+    best.bucket(np.arange(4), matrix, np.linalg.norm(matrix, axis=1))
+    assert best.found == [[(-4500, 0)]]
+
+
 # pipeline ------------------------------------------------------------------------------------------------------------
 
 
