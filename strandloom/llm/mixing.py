@@ -1,7 +1,8 @@
 """Mixing sources to target weights by Poisson replication.
 
 Each source's mean repetition rate is what brings its share of bytes to its target weight. A document's number of copies
-inverts the Poisson distribution of that mean at a number in [0, 1) hashed from the seed and the document's id; rows are
+inverts the Poisson distribution of that mean at a number in [0, 1) hashed from the seed and the document's id; a mean too
+large for that is split into equal parts, whose independently hashed counts add up to a count of the whole mean. Rows are
 exploded by it and shuffled globally by a hash of seed, id and copy.
 """
 
@@ -12,8 +13,10 @@ from pyspark.sql import functions as F
 
 from strandloom.llm.common import bounded, packed, written
 
-#: The largest mean rate, beyond which exp(-rate) comes near the smallest double.
+#: The largest mean rate of one part, beyond which exp(-rate) comes near the smallest double; also the most epochs.
 MAX_RATE = 500.0
+#: So many copies are made from one array.
+RUN = 1 << 16
 
 
 def _number(what: Column, digits: int) -> Column:
@@ -22,12 +25,14 @@ def _number(what: Column, digits: int) -> Column:
 
 
 def rates(docs: DataFrame, source: str = "source", weights: dict[str, float] | None = None, power: float = 0.5, epochs: float = 1.0) -> DataFrame:
-    """_source, rate, cdf of each source.
+    """_source, rate, parts and cdf of each source: a count of mean rate is the sum of parts counts with that cdf.
 
     weights: target share of bytes by source, which need not sum to 1; a source that isn't named has weight 0. Without
     them, weights are proportional to the source's bytes raised to power. The result is about epochs times the input's
-    bytes. A source without any bytes has rate epochs. Rates above MAX_RATE raise an error.
+    bytes. A source without any bytes has rate epochs. A source's rate may be any; epochs above MAX_RATE raise an error.
     """
+    if epochs > MAX_RATE:
+        raise ValueError(f"{epochs} epochs are too high")
     size = docs.groupBy(F.col(source).alias("_source")).agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).cast("double").alias("size"))
     if weights is None:
         weight = F.pow("size", F.lit(power))
@@ -39,13 +44,13 @@ def rates(docs: DataFrame, source: str = "source", weights: dict[str, float] | N
     total = size.agg(F.sum("size").alias("all_size"), F.sum("weight").alias("all_weight"))
     rate = F.coalesce(F.try_divide(F.lit(epochs) * F.col("weight") / F.col("all_weight") * F.col("all_size"), F.col("size")), F.lit(epochs))
     df = size.join(F.broadcast(total)).withColumn("rate", rate)  # total has one row
-    df = df.withColumn("rate", F.when(F.col("rate") > MAX_RATE, F.raise_error(F.format_string("rate %s of source %s is too high", "rate", "_source"))).otherwise(F.col("rate")))
+    df = df.withColumn("parts", F.greatest(F.lit(1).cast("long"), F.ceil(F.col("rate") / MAX_RATE))).withColumn("part", F.col("rate") / F.col("parts"))
     # chances of 0, 1, 2 ... copies, summed up; further than any number below 1 - 2**-52 reaches
     cdf = F.expr(
-        "aggregate(sequence(1, cast(ceil(rate + 12 * sqrt(rate)) as int) + 30), named_struct('p', exp(-rate), 'c', array(exp(-rate))), "
-        "(s, k) -> named_struct('p', s.p * rate / k, 'c', concat(s.c, array(element_at(s.c, -1) + s.p * rate / k)))).c"
+        "aggregate(sequence(1, cast(ceil(part + 12 * sqrt(part)) as int) + 30), named_struct('p', exp(-part), 'c', array(exp(-part))), "
+        "(s, k) -> named_struct('p', s.p * part / k, 'c', concat(s.c, array(element_at(s.c, -1) + s.p * part / k)))).c"
     )
-    return df.select("_source", "rate", cdf.alias("cdf"))
+    return df.select("_source", "rate", "parts", cdf.alias("cdf"))
 
 
 def replicated(docs: DataFrame, source: str = "source", weights: dict[str, float] | None = None, power: float = 0.5, epochs: float = 1.0, seed: int = 20, max_sources_sent: int = 10_000) -> DataFrame:
@@ -57,9 +62,14 @@ def replicated(docs: DataFrame, source: str = "source", weights: dict[str, float
     found = bounded(written(rates(docs, source, weights, power, epochs)), max_sources_sent)
     df = packed(docs, F.col(source).alias("_of"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("_name"))
     df = df.join(found, df["_of"].eqNullSafe(found["_source"]), "left")
-    u = _number(F.concat(F.lit(f"{seed}:count:"), "_name"), 13) / F.lit(float(1 << 52))
-    df = df.withColumn("_u", u).withColumn("_copies", F.size(F.filter("cdf", lambda c: F.col("_u") >= c)).cast("long"))
-    df = df.where("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
+    u = lambda head: _number(F.concat(head, F.col("_name")), 13) / F.lit(float(1 << 52))
+    count = lambda x: F.size(F.filter("cdf", lambda c: x >= c)).cast("long")
+    more = F.transform(F.sequence(F.lit(2).cast("long"), F.col("parts")), lambda i: u(F.concat(F.lit(f"{seed}:count"), i.cast("string"), F.lit(":"))))
+    df = df.withColumn("_u", u(F.lit(f"{seed}:count:"))).withColumn("_more", F.when(F.col("parts") > 1, more))
+    rest = F.when(F.col("parts") > 1, F.aggregate("_more", F.lit(0).cast("long"), lambda n, x: n + count(x))).otherwise(0)
+    df = df.withColumn("_copies", count(F.col("_u")) + rest)
+    df = df.where("_copies > 0").withColumn("_run", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(_copies - 1) div {RUN}"))))
+    df = df.withColumn("_copy", F.explode(F.sequence(F.col("_run") * RUN + 1, F.least("_copies", (F.col("_run") + 1) * RUN))))
     order = _number(F.concat(F.lit(f"{seed}:order:"), "_name", F.lit(":"), F.col("_copy").cast("string")), 15)
     return df.select("_in", "_copies", "_copy", order.alias("_order"))
 

@@ -173,6 +173,23 @@ def test_mixing_of_odd_rows(spark, odd):
         mixing.replicated(docs(spark, ["a" * 10]), epochs=1000.0).count()
 
 
+def test_mixing_of_a_tiny_source_beside_a_huge_one(spark):
+    """Rates beyond one part: a document of 100 bytes beside 50 MB (rate about 706), and 300 documents at a mean of 1300."""
+    hot = spark.range(1, 51).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), 1_000_000).alias("text"), F.lit("hot").alias("source"))
+    tiny = spark.createDataFrame([(0, "y" * 100, None)], "doc_id long, text string, source string")
+    out = mixing.replicated(hot.union(tiny)).where("_in.source is null").select("_copies", "_copy").collect()
+    rate = 50_000_100 / ((50_000_000**0.5 + 10) * 10)
+    assert rate > mixing.MAX_RATE and abs(len(out) - rate) < 6 * rate**0.5
+    assert sorted(r._copy for r in out) == list(range(1, len(out) + 1)) and {r._copies for r in out} == {len(out)}
+    many = spark.range(300).select(F.col("id").alias("doc_id"), F.lit("z" * 10).alias("text"), F.lit("a").alias("source"))
+    one = spark.range(300, 301).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), 7_797_000).alias("text"), F.lit("b").alias("source"))
+    counts = lambda: sorted((r["doc_id"], r["count"]) for r in mixing.replicated(many.union(one), weights={"a": 1, "b": 1}).where("_in.source = 'a'").groupBy("_in.doc_id").count().collect())
+    got = counts()
+    n = np.array([c for _, c in got])
+    assert len(n) == 300 and abs(n.mean() - 1300) < 6 * (1300 / 300) ** 0.5 and 0.6 < n.var() / 1300 < 1.6
+    assert got == counts()
+
+
 # 3 -------------------------------------------------------------------------------------------------------------------
 
 
