@@ -18,7 +18,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandloom.llm.common import columns_of, in_arrow, work_folder, written
+from strandloom.llm.common import bounded, columns_of, in_arrow, work_folder, written
 
 #: Fixed values of the formats: the dictionary frame's magic number and the shortest payload that is deduplicated.
 SKIPPABLE_DICTIONARY = 0x184D2A5D
@@ -159,8 +159,9 @@ def with_revisits(pages: DataFrame, least: int = 100) -> DataFrame:
 def write_archives(records: DataFrame, folder: str, dictionary: bytes, max_bytes: int = 8 << 20) -> DataFrame:
     """Writes page_id, url, html, refers_to as archives of about max_bytes in a folder; returns path, records, bytes of each.
 
-    A file appears under its name when it is whole, and only files of tasks that succeeded are in the result, so lost
-    executors and repeated tasks leave no half or doubled archives in it.
+    A file appears under its name when it is whole, and only files of tasks that succeeded are in the result. A task that
+    is lost may leave whole archives in the folder, which its repetition writes again under other names: readers must go
+    by the result's paths, not by the folder.
     """
     lead = struct.pack("<II", SKIPPABLE_DICTIONARY, len(dictionary)) + dictionary if dictionary else b""
 
@@ -195,9 +196,18 @@ def write_archives(records: DataFrame, folder: str, dictionary: bytes, max_bytes
     return in_arrow(records.select("page_id", "url", "html", "refers_to"), run, "path string, records long, bytes long")
 
 
-def read_archives(spark: SparkSession, paths: str | list[str], with_payload: bool = False) -> DataFrame:
+def _only(files: DataFrame, made: DataFrame, max_strays_sent: int = 10_000) -> DataFrame:
+    """Those of a folder's files that made lists (by name, which is unique). The few others are found by names alone."""
+    name = F.substring_index("path", "/", -1).alias("_name")
+    stray = written(files.select(name).join(made.select(name), "_name", "left_anti"))
+    return files.select("*", name).join(bounded(stray, max_strays_sent), "_name", "left_anti")
+
+
+def read_archives(spark: SparkSession, paths: str | list[str], with_payload: bool = False, made: DataFrame | None = None) -> DataFrame:
     """Records of the archives at paths, read through Spark's own file readers: a row each, validated.
 
+    made: write_archives' result as a written table; other files at paths are then left out.
+
     page_id, payload_bytes, payload_digest, record_type, refers_to, url; with_payload adds payload (null for revisits).
     An archive without a dictionary frame is read as well; a damaged one raises CorruptArchive.
     """
@@ -221,7 +231,8 @@ def read_archives(spark: SparkSession, paths: str | list[str], with_payload: boo
                 if rows:
                     yield batch(rows)
 
-    return in_arrow(spark.read.format("binaryFile").load(paths).select("content"), run, schema)
+    files = spark.read.format("binaryFile").load(paths)
+    return in_arrow((files if made is None else _only(files, made)).select("content"), run, schema)
 
 
 def round_trip(spark: SparkSession, pages: DataFrame, least: int = 100) -> DataFrame:
@@ -236,4 +247,4 @@ def round_trip(spark: SparkSession, pages: DataFrame, least: int = 100) -> DataF
     made = written(write_archives(with_revisits(pages, least), folder, train_dictionary(pages)))
     if not made.select(F.sum("records")).first()[0]:
         return spark.createDataFrame([], "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string")
-    return read_archives(spark, folder)
+    return read_archives(spark, folder, made=made)

@@ -7,6 +7,7 @@ import math
 import random
 import struct
 import zlib
+from pathlib import Path
 
 import duckdb
 import numpy as np
@@ -311,6 +312,22 @@ def archive(records, known=b""):
     return lead + b"".join(writer.compress(r) for r in records)
 
 
+def test_archives_of_lost_tasks_are_not_read(spark, monkeypatch):
+    """An archive that no task which succeeded has named stays in the folder, as after a lost executor."""
+    write = warc.write_archives
+
+    def with_stray(records, folder, dictionary):
+        made = write(records, folder, dictionary)
+        path = Path(folder.removeprefix("file://"))
+        path.mkdir(parents=True, exist_ok=True)
+        (path / f"{'0' * 32}.warc.zst").write_bytes(archive([warc.record(i, "u", b"page %d" % i) for i in range(3)]))
+        return made
+
+    monkeypatch.setattr(warc, "write_archives", with_stray)
+    df = spark.createDataFrame([(i, "u", f"page {i}") for i in range(20)], "page_id long, url string, html string")
+    assert sorted(r.page_id for r in warc.round_trip(spark, df).collect()) == list(range(20))
+
+
 def test_archives_are_validated():
     known = zstandard.train_dictionary(2000, [f"a page {i} of many words {i * i}".encode() * 20 for i in range(300)]).as_bytes()
     records = [warc.record(i, "http://u", f"page {i}".encode() * 50) for i in range(5)]
