@@ -231,6 +231,31 @@ def test_trie_weights_and_sums():
             assert weight[e] == sum(c for c, w, x in zip(count, words, closed, strict=True) if w[0] == words[i][0] and x[: d + 1] == closed[i][: d + 1])
 
 
+def test_states_are_fitted_on_all_documents(spark, monkeypatch):
+    """Kinds that only show after 4000 first rows, and after 4000 first characters of a text."""
+    rng = random.Random(4)
+    lead = "lead " * 900
+    kinds = [[f"k{k}w{i}" for i in range(20)] for k in range(3)]
+    made = ["early " * 3] * 4600 + [lead + " ".join(rng.choices(kinds[i % 3], k=300)) for i in range(1500)]
+    seen = []
+
+    def stop(rows, states):
+        seen.append(states)
+        raise InterruptedError
+
+    monkeypatch.setattr(lm_scoring, "blocks", stop)
+    for _ in range(2):
+        with pytest.raises(InterruptedError):
+            lm_scoring.scored(docs(spark, made).coalesce(1))
+    states, again = seen
+    index = {w: i for i, w in enumerate(states.marks)}
+    assert {w.encode() for own in kinds for w in own} <= set(index)
+    of = [states.of(np.array([index[w.encode()] for w in own]), np.full(20, 15)) for own in kinds]
+    of.append(states.of(np.array([index[b"early"]]), np.array([3])))
+    assert len(set(of)) >= 3  # EM may leave two kinds in one state
+    assert again.marks == states.marks and np.allclose(again.log, states.log)
+
+
 def test_log_gamma():
     x = np.array([1e-9, 0.3, 1, 2, 17.5, 4000, 1e7])
     assert lm_scoring.log_gamma(x) == pytest.approx([math.lgamma(y) for y in x], rel=1e-9, abs=1e-9)
