@@ -32,6 +32,13 @@ def pieces(seqs: DataFrame, before: int = 0, after: int = 0, size: int = 128) ->
     return rows.select("seq_id", "x.offset", F.length("x.left").alias("lead"), F.length("x.body").alias("body"), F.concat("x.left", "x.body", "x.right").alias("piece"))
 
 
+def tiled(seqs: DataFrame, step: int, width: int) -> DataFrame:
+    """seq_id, k (from 0), start, sequence: width letters (fewer at the end) from every step-th place of whole sequences."""
+    size = step * -(-max(128, width) // step)
+    rows = pieces(seqs, 0, width - 1, size).select("seq_id", "offset", "piece", F.explode(F.expr(f"sequence(0, (body - 1) div {step})")).alias("j"))
+    return rows.select("seq_id", (F.expr(f"offset div {step}") + F.col("j")).alias("k"), (F.col("offset") + F.col("j") * step + 1).alias("start"), F.expr(f"substring(piece, cast(j * {step} + 1 as int), {width})").alias("sequence"))
+
+
 def _words(k: int) -> Column:
     """All words of k letters that start in a piece's body."""
     return F.expr(f"transform(sequence(1, greatest(least(body, length(piece) - {k - 1}), 1)), i -> substring(piece, i, {k}))")

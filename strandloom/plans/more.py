@@ -179,6 +179,15 @@ def caller_of_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rd.call_methylation_of_pairs(reads, s).select("seq_id", F.col("pos").cast("int").alias("pos"), "strand", "c", "t")
 
 
+@query("M3_caller_of_pairs_whole")
+def caller_of_pairs_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M3: as caller_of_pairs, with pairs over each sequence's whole length."""
+    s = sequences(spark, sf_dir)
+    m = rd.tiled(s, 30, 32).withColumn("mate", F.explode(F.array(F.lit(1), F.lit(2))))
+    reads = m.select(F.concat_ws("-", "seq_id", "k").alias("pair_id"), "mate", "seq_id", (F.col("start") + (F.col("mate") - 1) * 12).alias("start"), F.expr("substring(sequence, 1 + (mate - 1) * 12, 20)").alias("sequence"))
+    return rd.call_methylation_of_pairs(reads, s).select("seq_id", F.col("pos").cast("int").alias("pos"), "strand", "c", "t")
+
+
 @query("M6_cytosine_index", f"with {SITES} select seq_id, pos from z where strand = '+' and context = 'CG'")
 def cytosine_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M6: the index as a table, written and read by one context."""

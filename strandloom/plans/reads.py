@@ -372,6 +372,28 @@ def context_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _called(spark, sf_dir).groupBy("context", window_end(F.col("pos"), 50).alias("end")).agg(F.sum("c").alias("c"), F.sum("t").alias("t"), F.count("*").alias("n"))
 
 
+def _called_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As _called, with reads over each sequence's whole length."""
+    s = sequences(spark, sf_dir).where("length > 0")
+    m = rd.tiled(s, 7, 40)
+    return rd.call_methylation(m.withColumn("sequence", F.when(F.col("k") % 2 == 0, sq.c_to_t(F.col("sequence"))).otherwise(F.col("sequence"))), s, many=5)
+
+
+@query("M1_methylation_caller_whole")
+def methylation_caller_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _called_whole(spark, sf_dir).select("seq_id", F.col("pos").cast("int").alias("pos"), "c", "t", "context", "starred")
+
+
+@query("M2_frequencies_whole")
+def frequencies_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rd.frequencies(_called_whole(spark, sf_dir))
+
+
+@query("M4_context_windows_whole")
+def context_windows_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _called_whole(spark, sf_dir).groupBy("context", window_end(F.col("pos"), 50).alias("end")).agg(F.sum("c").alias("c"), F.sum("t").alias("t"), F.count("*").alias("n"))
+
+
 @query("M5_cytosine_sites", f"with {SITES} select seq_id, strand, context, count(*) as n, sum(pos)::bigint as positions from z group by all")
 def cytosine_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rd.cytosines(sequences(spark, sf_dir)).groupBy("seq_id", "strand", "context").agg(F.count("*").alias("n"), F.sum("pos").alias("positions"))
@@ -391,6 +413,15 @@ def confirmed_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     return claims.join(sites, ["seq_id", "pos"], "left").groupBy(F.coalesce("hit", F.lit(False)).alias("is_site")).agg(F.count("*").alias("n"))
 
 
+@query("M8_confirmed_sites_whole")
+def confirmed_sites_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M8: every position of each sequence claimed, and checked against the bases."""
+    s = sequences(spark, sf_dir)
+    claims = s.where("length > 0").select("seq_id", F.explode(F.sequence(F.lit(1), F.col("length"))).alias("pos"))
+    sites = rd.cytosines(s).select("seq_id", "pos").withColumn("hit", F.lit(True))
+    return claims.join(sites, ["seq_id", "pos"], "left").groupBy(F.coalesce("hit", F.lit(False)).alias("is_site")).agg(F.count("*").alias("n"))
+
+
 @query("M9_simulated_reads")
 def simulated_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M9: no oracle, as DuckDB lacks the hash; tests check ranges, rates and that a second run is the same."""

@@ -199,6 +199,14 @@ def base_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return n.withColumn("entropy", F.round(st.entropy([F.col(y) for y in "acgt"]), 6))
 
 
+@query("A26_base_entropy_whole")
+def base_entropy_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As base_entropy, at every position up to the longest sequence's end."""
+    x = rd.pieces(sequences(spark, sf_dir)).select("offset", F.posexplode(F.split("piece", "")).alias("j", "b")).where("b <> ''")
+    n = x.groupBy((F.col("offset") + F.col("j") + 1).alias("i")).agg(*(F.count_if(F.col("b") == y).alias(y.lower()) for y in "ACGT"))
+    return n.withColumn("entropy", F.round(st.entropy([F.col(y) for y in "acgt"]), 6))
+
+
 @query("A27_robust_spread", "with x as (select l_suppkey as k, l_quantity as v from lineitem), m as (select k, median(v) as median from x group by 1) select x.k, m.median, round(median(abs(v - m.median)) * 1.4826, 6) as mad, count(*) as n from x join m on x.k = m.k group by all")
 def robust_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("k"), F.col("l_quantity").alias("v"))

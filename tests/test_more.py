@@ -1,5 +1,9 @@
 """Literals of the remaining functions and operators."""
 
+import collections
+import math
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,6 +13,7 @@ from strandloom.operators import reads as rd
 from strandloom.operators import rows as ro
 from strandloom.operators import windows as wi
 from strandloom.operators.rangejoin import overlap_join
+from strandloom.plans import catalogue
 from strandloom.sources import sinks as sk
 from strandloom.sources import text as tx
 from tests.conftest import rows
@@ -73,3 +78,42 @@ def test_store_is_bucketed(spark):
 def test_numbered_rows(spark):
     df = spark.range(500).select((499 - F.col("id")).alias("v"))
     assert rows(tx.numbered(df, ["v"]).select("row", "v")) == [(i, i) for i in range(500)]
+
+
+def test_queries_on_whole_sequences(spark, tmp_path):
+    """Brute force of the queries that read sequences to their ends, well beyond the first 200 letters."""
+    rng = random.Random(8)
+    texts = {i: "".join(rng.choices("ACGT", k=n)) for i, n in enumerate((0, 1, 20, 127, 128, 253, 1000), 1)}
+    made = [*texts.items(), (99, None)]
+    spark.createDataFrame(made, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    run = lambda name: rows(catalogue.queries()[name](spark, str(tmp_path)))
+    context = lambda x: "CG" if x[1:2] == "G" else "CHG" if x[1:2] and x[1] in "ACT" and x[2:3] == "G" else "CHH"
+    called, pairs = collections.defaultdict(lambda: [0, 0]), collections.defaultdict(lambda: [0, 0])
+    for i, t in texts.items():
+        for k, at in enumerate(range(0, len(t), 7)):
+            for p in range(at, min(at + 40, len(t))):
+                if t[p] == "C":
+                    called[i, p + 1][k % 2 == 0] += 1
+        for at in range(0, len(t), 30):
+            for p in range(at, min(at + 32, len(t))):
+                first = p < at + 20
+                if t[p] == ("C" if first else "G"):
+                    pairs[i, p + 1, "+" if first else "-"][0] += 1
+    sites = [(i, p, *n, context(texts[i][p - 1 : p + 2]), sum(n) > 5) for (i, p), n in sorted(called.items())]
+    assert run("M1_methylation_caller_whole") == sites
+    assert run("M3_caller_of_pairs_whole") == sorted((*k, *n) for k, n in pairs.items())
+    windows, kinds = collections.defaultdict(lambda: [0, 0, 0]), collections.defaultdict(lambda: [0] * 5)
+    for _, p, c, t, x, starred in sites:
+        for total, more in ((windows[x, -(-p // 50) * 50], (c, t, 1)), (kinds[x], (c * (not starred), t * (not starred), c, t, 1))):
+            total[:] = [a + b for a, b in zip(total, more, strict=True)]
+    assert run("M4_context_windows_whole") == sorted((*k, *n) for k, n in windows.items())
+    assert [r[:-1] for r in run("M2_frequencies_whole")] == sorted((k, *n) for k, n in kinds.items())
+    letters = "".join(texts.values())
+    n = sum(letters.count(x) for x in "CG")
+    assert run("M8_confirmed_sites_whole") == [(False, len(letters) - n), (True, n)]
+    got = run("A26_base_entropy_whole")
+    assert len(got) == 1000
+    for i, *n, entropy in got:
+        assert n == [sum(t[i - 1 : i] == x for t in texts.values()) for x in "ACGT"]
+        shares = [(x + 1) / (sum(n) + 4) for x in n]
+        assert entropy == pytest.approx(-sum(x * math.log2(x) for x in shares), abs=2e-6)
