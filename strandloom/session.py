@@ -15,6 +15,8 @@ from pyspark.sql import SparkSession
 _PACKAGE = Path(__file__).resolve().parent
 #: Of the contexts that have the code already.
 _shipped: set[str] = set()
+#: Work folders by application.
+_folders: dict[str, list[str]] = {}
 
 
 def session(app: str = "strandloom", **conf: str) -> SparkSession:
@@ -43,15 +45,35 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def _path(spark: SparkSession, path: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def work_folder(spark: SparkSession) -> str:
-    """A new folder path in the shared folder named by spark.checkpoint.dir.
+    """A new folder path in the shared folder named by spark.checkpoint.dir; clean deletes it.
 
-    Only where that setting is absent (tests, one machine) a temporary folder takes its place.
+    Only a local master may go without that setting (tests, one machine): a temporary folder takes its place. On a cluster
+    its absence raises an error, as no other folder is known to be shared.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not re.fullmatch(r"local(\[[^\[\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="strandloom-")
         spark.conf.set("spark.checkpoint.dir", base)
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/strandloom-{uuid.uuid4().hex}")
-    whole = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
-    return re.sub("^file:/+", "file:///", whole)
+    path, system = _path(spark, f"{base.rstrip('/')}/strandloom-{uuid.uuid4().hex}")
+    whole = re.sub("^file:/+", "file:///", system.makeQualified(path).toString())
+    _folders.setdefault(spark.sparkContext.applicationId, []).append(whole)
+    return whole
+
+
+def delete(spark: SparkSession, folder: str) -> None:
+    path, system = _path(spark, folder)
+    system.delete(path, True)
+
+
+def clean(spark: SparkSession) -> None:
+    """Deletes all work folders of this application; results that were not read or written before are lost."""
+    for folder in _folders.pop(spark.sparkContext.applicationId, []):
+        delete(spark, folder)
