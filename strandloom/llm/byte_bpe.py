@@ -1,9 +1,10 @@
 """Byte-level BPE encoding and decoding by monoid tree reduction.
 
-Encoding a piece splits its bytes in halves recursively. Two encoded neighbours are joined by re-encoding a window of
-tokens around the seam, which grows until both pairs of tokens at the window's edges are stable. A pair is stable if the
-encoding of its joined bytes is the pair itself; a sequence in which all neighbours are stable is the encoding of its
-bytes, so tokens outside such a window cannot change. Decoding concatenates byte strings pairwise up a tree.
+Encoding a piece splits its bytes in halves recursively, down to one or two bytes. Two encoded neighbours are joined by
+re-encoding a window of tokens around the seam, which grows until both pairs of tokens at the window's edges are stable. A
+pair is stable if the encoding of its joined bytes is the pair itself; a sequence in which all neighbours are stable is the
+encoding of its bytes, so tokens outside such a window cannot change. Decoding concatenates tokens' byte strings pairwise up
+a tree.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
+import operator
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,10 +23,10 @@ from pyspark.sql import DataFrame
 from strandloom.llm.common import columns_of, in_arrow, texts
 from strandloom.llm.pretoken import pretokens
 
-#: Bytes up to which a half is encoded directly.
-LEAF = 24
-#: Pieces in a worker's cache before it starts afresh, the longest piece that goes there, and pairs known to be stable or not.
-CACHE_ENTRIES, CACHE_PIECE, STABLE_ENTRIES = 300_000, 48, 50_000
+#: Bytes of a leaf of the tree, and of a window that is re-encoded by merging; a longer one is halved again.
+LEAF, WINDOW = 2, 96
+#: Pieces in a worker's cache before it starts afresh, the longest piece that goes there, and what is known of pairs and windows.
+CACHE_ENTRIES, CACHE_PIECE, STABLE_ENTRIES = 300_000, 48, 100_000
 
 
 class TreeCodec(dict):
@@ -35,6 +37,8 @@ class TreeCodec(dict):
         self.ranks = ranks
         self.bytes_of = {i: b for b, i in ranks.items()}
         self.stable: dict[tuple[int, int], bool] = {}
+        self.windows: dict[bytes, list[int]] = {}
+        self.joins = 0  # of two halves of a piece
 
     def __missing__(self, piece: str) -> bytes:
         out = np.array(self.encode(piece.encode("utf-8", "replace")), "<u4").tobytes()
@@ -44,8 +48,8 @@ class TreeCodec(dict):
             self[piece] = out
         return out
 
-    def leaf(self, data: bytes) -> list[int]:
-        """Joins the neighbours of the lowest rank, leftmost first, until none can be joined."""
+    def merged(self, data: bytes) -> list[int]:
+        """What a short run of bytes is encoded to: neighbours of the lowest rank are joined, leftmost first, until none can be."""
         if (whole := self.ranks.get(data)) is not None:
             return [whole]
         get, none = self.ranks.get, 1 << 62
@@ -65,16 +69,26 @@ class TreeCodec(dict):
         if (known := self.stable.get((a, b))) is None:
             if len(self.stable) >= STABLE_ENTRIES:
                 self.stable.clear()
-            known = self.stable[a, b] = self.leaf(self.bytes_of[a] + self.bytes_of[b]) == [a, b]
+            known = self.stable[a, b] = self.merged(self.bytes_of[a] + self.bytes_of[b]) == [a, b]
+        return known
+
+    def window(self, data: bytes) -> list[int]:
+        """The encoding of a boundary window's bytes."""
+        if len(data) > WINDOW:
+            return self._halves(data)
+        if (known := self.windows.get(data)) is None:
+            if len(self.windows) >= STABLE_ENTRIES:
+                self.windows.clear()
+            known = self.windows[data] = self.merged(data)
         return known
 
     def join(self, left: list[int], right: list[int]) -> list[int]:
+        """The encoding of two neighbours' bytes from their encodings."""
         if not left or not right or self.is_stable(left[-1], right[0]):
             return left + right
         i = j = 1
         while True:
-            window = b"".join(self.bytes_of[t] for t in left[-i:] + right[:j])
-            inner = self.leaf(window) if len(window) <= 4 * LEAF else self._halves(window)
+            inner = self.window(b"".join(map(self.bytes_of.__getitem__, left[-i:] + right[:j])))
             left_ok = i >= len(left) or self.is_stable(left[-i - 1], inner[0])
             right_ok = j >= len(right) or self.is_stable(inner[-1], right[j])
             if left_ok and right_ok:
@@ -83,23 +97,27 @@ class TreeCodec(dict):
 
     def _halves(self, data: bytes) -> list[int]:
         half = len(data) // 2
+        self.joins += 1
         return self.join(self.encode(data[:half]), self.encode(data[half:]))
 
     def encode(self, data: bytes) -> list[int]:
-        if len(data) <= LEAF:
-            return self.leaf(data) if data else []
-        return self._halves(data)
+        """The ids of a piece's bytes."""
+        if len(data) > LEAF:
+            return self._halves(data)
+        if (whole := self.ranks.get(data)) is not None:
+            return [whole]
+        return [self.ranks[data[i : i + 1]] for i in range(len(data))]
 
     def encode_text(self, text: str) -> bytes:
         """Ids of a text, little-endian unsigned 32-bit."""
         return b"".join(map(self.__getitem__, pretokens(text)))
 
-    def decode(self, ids: list[int], block: int = 1024) -> bytes:
-        """Bytes of ids: each block's, then joined pairwise up the tree."""
-        get = self.bytes_of.__getitem__
-        level = [b"".join(map(get, ids[i : i + block])) for i in range(0, len(ids), block)] or [b""]
+    def decode(self, ids: list[int]) -> bytes:
+        """Bytes of ids: those of each token, joined pairwise up the tree."""
+        level = list(map(self.bytes_of.__getitem__, ids)) or [b""]
         while len(level) > 1:
-            level = [b"".join(level[i : i + 2]) for i in range(0, len(level), 2)]
+            odd = level[-1:] if len(level) % 2 else []
+            level = [*map(operator.add, level[::2], level[1::2]), *odd]
         return level[0]
 
 

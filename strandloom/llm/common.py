@@ -5,17 +5,22 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
+import hashlib
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, StringType, StructType
 
-from strandloom.session import work_folder
+from strandloom.session import delete, work_folder
 
 #: The white space of every contract of this package: 0x20 and 0x09 to 0x0D, no other.
 SPACE = r"\x20\x09-\x0D"
+#: The most bytes of a table that is sent to all executors, and the settings of Arrow batches.
+SENT_BYTES = 64 << 20
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,22 +33,49 @@ def packed(df: DataFrame, *names: str) -> DataFrame:
 
 
 def written(df: DataFrame, *partition_by: str) -> DataFrame:
-    """Cuts lineage: df as a Parquet table in the shared folder, read back."""
+    """Cuts lineage: df as a Parquet table in the shared folder, read back; discard or session.clean delete it."""
     spark, path = df.sparkSession, work_folder(df.sparkSession)
     df.write.partitionBy(*partition_by).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._work_path = path
+    return out
 
 
-def bounded(df: DataFrame, max_rows: int) -> DataFrame:
-    """A broadcast hint only if df, which should be a written table, proves to have at most max_rows rows."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+def discard(table: DataFrame) -> None:
+    """Deletes a written table that nothing reads any more."""
+    delete(table.sparkSession, table._work_path)
 
 
-def in_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str, max_rows: int = 2000, max_bytes: str = "8m") -> DataFrame:
-    """df.mapInArrow(run, schema) with batches small enough for two workers beside an executor's heap."""
+def _row_bytes(df: DataFrame) -> Column:
+    """About the bytes of a row as it is sent: strings and arrays by their lengths."""
+    total = F.lit(16)
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, StringType | BinaryType):
+            total = total + 16 + F.coalesce(F.octet_length(c), F.lit(0))
+        elif isinstance(f.dataType, ArrayType):
+            each = 32 if isinstance(f.dataType.elementType, StructType) else 8
+            total = total + 16 + F.greatest(F.size(c), F.lit(0)) * each
+        else:
+            total = total + 8
+    return total
+
+
+def bounded(df: DataFrame, max_rows: int, max_bytes: int = SENT_BYTES) -> DataFrame:
+    """A broadcast hint only if df, which should be a written table, proves to have at most max_rows rows of max_bytes in all."""
+    rows, size = df.limit(max_rows + 1).agg(F.count("*"), F.coalesce(F.sum(_row_bytes(df)), F.lit(0))).first()
+    return F.broadcast(df) if rows <= max_rows and size <= max_bytes else df
+
+
+def in_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """df.mapInArrow(run, schema) with batches small enough for two workers beside an executor's heap.
+
+    All operators of this package use the same two settings, so it does not matter when a plan that is built here runs.
+    """
     conf = df.sparkSession.conf
-    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(max_rows))
-    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", max_bytes)
+    for key, value in BATCHES.items():
+        if conf.get(key, None) != value:
+            conf.set(key, value)
 
     def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from run(batches)
@@ -84,22 +116,22 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-#: An odd base and its inverse modulo 2**64.
-BASE = 0x9E3779B97F4A7C15 | 1
-INVERSE = pow(BASE, -1, 1 << 64)
-
-
-def powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
+#: Odd factors of the hashes below.
+BASE = 0x9E3779B97F4A7C15
+_WORD, _PAIR = np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
+#: Words of more bytes are hashed one by one, by a cryptographic hash.
+_LONG = 256
+#: What keeps the first 0 to 8 bytes of a little-endian number.
+_FIRST = np.array([(1 << (8 * n)) - 1 for n in range(9)], np.uint64)
 
 
 class Words:
     """Words (runs of bytes outside SPACE) of many texts at once.
 
     ``start`` and ``end`` are byte offsets into ``data``, ``doc`` is the text's index and ``hash`` a 64-bit hash of the
-    word's bytes: a polynomial over the bytes, times the inverse power of its start, mixed with the length.
+    word's bytes. Bytes enter eight at a time, each time through a bijective finaliser, so words of one length up to eight
+    bytes never share a hash, and no algebraic structure of longer words (as with polynomials modulo 2**64) makes them
+    collide; words over 256 bytes are hashed by blake2b.
     """
 
     def __init__(self, items: list[bytes], lower: bool) -> None:
@@ -116,42 +148,45 @@ class Words:
         lengths = np.fromiter(map(len, items), np.int64, len(items)) + 1
         self.doc = np.searchsorted(np.cumsum(lengths), self.start, side="right")
         self.first = np.searchsorted(self.doc, np.arange(len(items) + 1))  # of each text's words
-        self.hash = self._hash(raw)
+        self.hash = self._hash()
 
-    def _hash(self, raw: np.ndarray, block: int = 1 << 20) -> np.ndarray:
-        out = np.zeros(len(self.start), np.uint64)
-        power, back = powers(BASE, block), powers(INVERSE, block)
-        at = lo = 0
+    def _hash(self) -> np.ndarray:
+        held = self.data + bytes(8)
+        eight = np.ndarray(len(held) - 7, "<u8", held, strides=(1,))  # the eight bytes from each byte on
+        size = self.end - self.start
         with np.errstate(over="ignore"):
-            while at < len(self.start):  # blocks of whole words; a longer word has a block of its own
-                hi = int(np.searchsorted(self.end, self.start[at] + block, side="right"))
-                if hi == at:
-                    hi = at + 1
-                lo, top = int(self.start[at]), int(self.end[hi - 1])
-                if top - lo > len(power):
-                    power, back = powers(BASE, top - lo), powers(INVERSE, top - lo)
-                total = np.zeros(top - lo + 1, np.uint64)
-                np.cumsum((raw[lo:top].astype(np.uint64) + np.uint64(1)) * power[: top - lo], out=total[1:])
-                s, e = self.start[at:hi] - lo, self.end[at:hi] - lo
-                out[at:hi] = mix64((total[e] - total[s]) * back[s] + (e - s).astype(np.uint64))
-                at = hi
+            out = mix64(size.astype(np.uint64) * _WORD)
+            some, at = np.flatnonzero(size <= _LONG), 0
+            while len(some):
+                left = size[some] - at
+                out[some] = mix64((out[some] ^ (eight[self.start[some] + at] & _FIRST[np.minimum(left, 8)])) * _WORD)
+                at += 8
+                some = some[left > 8]
+        for i in np.flatnonzero(size > _LONG):
+            out[i] = int.from_bytes(hashlib.blake2b(self.data[self.start[i] : self.end[i]], digest_size=8).digest(), "little")
         return out
 
-    def grams(self, k: int, salt: int = 0) -> tuple[np.ndarray, np.ndarray]:
-        """Hash of the k words from each start, and the starts (word indexes) that have k words in their text."""
-        own = mix64(self.hash ^ np.uint64(salt)) if salt else self.hash
+    def grams(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hash of the k words from each start, and the starts (word indexes) that have k words in their text.
+
+        Hashes of 1, 2, 4 ... words are joined to that of k, each time through the finaliser.
+        """
         n = len(self.hash) - k + 1
         if n <= 0:
             return np.zeros(0, np.uint64), np.zeros(0, np.int64)
         at = np.flatnonzero(self.doc[:n] == self.doc[k - 1 :])
-        with np.errstate(over="ignore"):
-            if k <= 8:
-                total = np.zeros(n, np.uint64)
-                for i in range(k):
-                    total = (total + own[i : i + n]) * np.uint64(BASE)
-                return mix64(total)[at], at
-            # sum of hash * base**position, normalised to the window's start
-            power, back = powers(BASE, len(self.hash)), powers(INVERSE, len(self.hash))
-            total = np.zeros(len(self.hash) + 1, np.uint64)
-            np.cumsum(own * power, out=total[1:])
-            return mix64((total[k:] - total[:-k]) * back[: len(total) - k])[at], at
+        out, done, power, size = None, 0, self.hash, 1
+        while True:
+            if k & size:
+                out = power if out is None else joined_hash(out[: len(power) - done], power[done:])
+                done += size
+            if done == k:
+                return out[at], at
+            power = joined_hash(power[:-size], power[size:])
+            size *= 2
+
+
+def joined_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A hash of the pair of two hashes, in this order."""
+    with np.errstate(over="ignore"):
+        return mix64((a * _PAIR) ^ (b + _WORD))

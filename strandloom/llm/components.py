@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandloom.llm.common import in_arrow, written
+from strandloom.llm.common import discard, in_arrow, written
 
 
 def forest(a: np.ndarray, b: np.ndarray, weight: np.ndarray | None = None) -> np.ndarray:
@@ -52,7 +52,8 @@ def components(links: DataFrame, most_rounds: int = 40) -> DataFrame:
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        edges = written(small.union(low.select("a", F.col("m").alias("b"))).distinct())
+        before, edges = edges, written(small.union(low.select("a", F.col("m").alias("b"))).distinct())
+        discard(before)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == state:
             break

@@ -59,11 +59,11 @@ select p.page_id, strlen(p.h)::bigint as payload_bytes, sha256(p.h) as payload_d
 from p left join m on p.h = m.h
 """
 OP9 = """
-with v as (select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)::bigint) as e from embeddings
+with v as (select row_number() over () as n, vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)::bigint) as e from embeddings
   where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
-s as (select q.vec_id as query_id, c.vec_id, list_sum(list_transform(list_zip(q.e, c.e), lambda z: z[1] * z[2]))::bigint as score
-  from v q join v c on q.vec_id % 100 = 0 and q.vec_id <> c.vec_id),
-r as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from s)
+s as (select q.n, q.vec_id as query_id, c.vec_id, list_sum(list_transform(list_zip(q.e, c.e), lambda z: z[1] * z[2]))::bigint as score
+  from v q join v c on q.vec_id % 100 = 0 and q.n <> c.n),
+r as (select *, row_number() over (partition by n order by score desc, vec_id)::int as rank from s)
 select query_id, rank, vec_id, score from r where rank <= 10
 """
 

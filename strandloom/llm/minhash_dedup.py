@@ -21,15 +21,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandloom.llm.common import Words, bounded, columns_of, in_arrow, mix64, texts, written
+from strandloom.llm.common import Words, bounded, columns_of, in_arrow, joined_hash, mix64, texts, written
 from strandloom.llm.components import components, forest
 
 #: Samples, of which BANDS * ROWS make the bands, and bits of a sketch.
 SAMPLES, BANDS, ROWS, BITS = 256, 20, 4, 1024
 #: Standard deviations of the estimate below the threshold down to which a candidate goes on.
 SIGMAS = 4.5
-#: Members of a block: of a band's bucket, and of a cluster.
-BUCKET_BLOCK, CLUSTER_BLOCK = 2048, 1024
+#: Members of a block: of a band's bucket, and of a cluster; and shingles of a cluster's block.
+BUCKET_BLOCK, CLUSTER_BLOCK, BLOCK_SHINGLES = 2048, 1024, 4 << 20
 _rng = np.random.default_rng(20)
 _SALT = _rng.integers(0, 1 << 32, SAMPLES, dtype=np.uint32)
 _FACTOR = _rng.integers(0, 1 << 32, SAMPLES, dtype=np.uint32) | np.uint32(1)
@@ -44,11 +44,9 @@ def shingle_sets(items: list[str], k: int = 5) -> list[np.ndarray]:
     for i in range(len(items)):
         own = grams[cut[i] : cut[i + 1]]
         if not len(own) and words.first[i] < words.first[i + 1]:  # too few words: the sequence as a whole
-            whole = np.uint64(0)
-            with np.errstate(over="ignore"):
-                for h in words.hash[words.first[i] : words.first[i + 1]]:
-                    whole = mix64(np.array([whole ^ h]))[0] + np.uint64(1)
-            own = np.array([whole], np.uint64)
+            own = words.hash[words.first[i] : words.first[i] + 1]
+            for j in range(words.first[i] + 1, words.first[i + 1]):
+                own = joined_hash(own, words.hash[j : j + 1])
         out.append(np.unique(own))
     return out
 
@@ -306,33 +304,35 @@ def links_of_blocks(rows: DataFrame, percent: int) -> DataFrame:
 
 
 def confirmed_links(docs: DataFrame, clusters: DataFrame, percent: int) -> DataFrame:
-    """a, b: links confirmed on full sets that connect all that links within clusters (node, component) connect.
+    """a, b: links confirmed on full sets that connect all that links within clusters (node, component, n_shingles) connect.
+
+    A block has about CLUSTER_BLOCK members, or fewer, so that their sets hold about BLOCK_SHINGLES shingles.
 
     A cluster of one block is compared as a whole. A larger one is first dealt into blocks by two different hashes and
     compared within these, which gathers a tight cluster's members in one component; then only the members outside its
     cluster's largest component are compared with all members, in pairs of blocks.
     """
-    block = CLUSTER_BLOCK
-    sizes = clusters.groupBy("component").agg(F.count("*").alias("members"))
-    rows = member_sets(docs, clusters).join(clusters.join(sizes, "component"), "node")
-    many = sizes.where(F.col("members") > block).limit(1).count() > 0
+    per_block = F.least(F.lit(float(CLUSTER_BLOCK)), BLOCK_SHINGLES / F.avg("n_shingles"))
+    sizes = clusters.groupBy("component").agg(F.ceil(F.count("*") / per_block).cast("int").alias("blocks"), per_block.alias("per_block"))
+    rows = member_sets(docs, clusters).join(clusters.select("node", "component").join(sizes, "component"), "node")
+    many = sizes.where("blocks > 1").limit(1).count() > 0
     rows = written(rows) if many else rows
-    blocks = F.ceil(F.col("members") / block)
+    blocks = F.col("blocks")
     dealt = lambda df, turn, n: F.pmod(F.xxhash64("node", F.lit(turn)), n).cast("int")
     whole = lambda df, turn: df.withColumns({"lo": dealt(df, turn, blocks), "hi": F.lit(turn), "side": F.lit(0)})
     links = links_of_blocks(whole(rows, 0), percent)
     if not many:
         return links
-    large = rows.where(F.col("members") > block)
+    large = rows.where("blocks > 1")
     links = written(links.union(links_of_blocks(whole(large, 1), percent)))
     found = components(links)
     label = F.coalesce("label", "node")
-    at = large.select("node", "component", "members").distinct().join(found.select("node", F.col("component").alias("label")), "node", "left").withColumn("label", label)
+    at = large.select("node", "component", "per_block").distinct().join(found.select("node", F.col("component").alias("label")), "node", "left").withColumn("label", label)
     parts = at.groupBy("component", "label").agg(F.count("*").alias("n"))
     main = parts.groupBy("component").agg(F.max_by("label", F.struct("n", "label")).alias("main"), (F.sum("n") - F.max("n")).alias("outside")).where("outside > 0")
-    at = written(at.join(main, "component").select("node", "label", "main", "outside"))
+    at = written(at.join(main, "component").select("node", "label", "main", F.ceil(F.col("outside") / F.col("per_block")).alias("others")))
     large = large.join(at, "node")
-    others = F.ceil(F.col("outside") / block)
+    others = F.col("others")
     all_of = lambda n: F.explode(F.sequence(F.lit(0), (n - 1).cast("int")))
     outside = large.where("label <> main").withColumns({"lo": dealt(large, 2, others), "side": F.lit(0)}).withColumn("hi", all_of(blocks))
     every = large.withColumns({"hi": dealt(large, 3, blocks), "side": F.lit(1)}).withColumn("lo", all_of(others))
@@ -356,7 +356,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     also = full.join(reps.select("digest", "rep"), "digest").where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     many = full.groupBy("doc_id").agg(F.count_distinct("digest").alias("n")).where("n > 1").select(F.col("doc_id").alias("a"))
     candidates = written(sketch_links(reps, percent / 100).distinct())
-    clusters = written(components(candidates))
+    clusters = written(components(candidates).join(reps.select(F.col("rep").alias("node"), "n_shingles"), "node").groupBy("node", "component").agg(F.max("n_shingles").alias("n_shingles")))
     links = confirmed_links(own.where("doc_id is not null"), clusters, percent)
     groups = written(components(links.union(also.join(many, "a", "left_semi"))))
     out = sig.join(reps.select("digest", "rep"), "digest", "left").withColumn("rep", F.coalesce("rep", "doc_id"))

@@ -1,9 +1,10 @@
 """Quality rules as weak supervision, with DataFrame functions only.
 
 Every rule votes good (1), votes bad (-1) or abstains (0). Documents are counted by their vector of votes, of which there
-are at most 3 ** rules whatever the corpus' size; expectation-maximisation over these counts estimates each rule's accuracy
-(how often its votes, where it votes, are right), and the posterior probability of being good replaces "all rules must
-pass". The share of good documents is a parameter, as an estimated one would let a rare kind of junk pass for good.
+are at most 3 ** rules whatever the corpus' size; expectation-maximisation over these counts estimates how each rule votes on
+good and on bad documents, and so its accuracy, and the share of good documents. The posterior probability of being good
+replaces "all rules must pass". That a rule abstains counts as well, so a rare kind of junk that rules for good documents
+pass over is not outweighed by a large share of good documents.
 """
 
 from __future__ import annotations
@@ -22,12 +23,14 @@ RULES = {
     "long_words": ("n_words > 0 and word_chars >= 13 * n_words", "false"),
     "short_words": ("n_words > 0 and word_chars < 2 * n_words", "false"),
     "shouting": ("word_chars > 0 and 5 * n_upper >= 2 * word_chars", "false"),
-    "monotony": ("n_words between 50 and 2000 and 5 * n_distinct <= n_words", "false"),
-    "prose": ("false", "n_words >= 10 and 50 * n_symbols <= n_words and 7 * n_upper <= word_chars and 20 * n_repeat_words <= n_words"),
-    "words": ("false", "n_words >= 10 and word_chars between 3 * n_words and 9 * n_words and 10 * n_symbols < n_words and 5 * n_upper < 2 * word_chars and 5 * n_repeat_words <= n_words"),
+    "monotony": ("n_words >= 50 and n_distinct * n_distinct <= 4 * n_words", "false"),
+    "prose": ("false", "n_words >= 10 and 50 * n_symbols <= n_words and 7 * n_upper <= word_chars and 20 * n_repeat_words <= n_words and (n_words < 50 or n_distinct * n_distinct > 4 * n_words)"),
+    "words": ("false", "n_words >= 10 and word_chars between 3 * n_words and 9 * n_words and 10 * n_symbols < n_words and 5 * n_upper < 2 * word_chars and 5 * n_repeat_words <= n_words and (n_words < 50 or n_distinct * n_distinct > 4 * n_words)"),
 }
-#: Share of good documents, the accuracy that every rule starts with, and rounds.
-BALANCE, START, ROUNDS = 0.5, 0.8, 25
+#: The accuracy that votes start with, and rounds.
+START, ROUNDS = 0.95, 25
+#: Chances of the votes -1, 0, 1 of good documents, and of bad ones, that estimates lean to, and the documents these count as.
+LEAN, WEIGHT = (0.02, 0.49, 0.49, 0.49, 0.49, 0.02), 2.0
 _FEATURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_upper", "n_distinct")
 
 
@@ -83,18 +86,22 @@ def votes() -> Column:
 
 
 def estimate(counts: DataFrame, rounds: int = ROUNDS) -> list[float]:
-    """Accuracy of each rule from a table of v (votes) and n (documents with them).
+    """By rule the chances of its votes -1, 0, 1 of good documents and of bad ones, then the share of good documents.
 
-    All rounds run inside one SQL expression over one row, whose array has at most 3 ** rules entries.
+    counts: v (votes), n (documents with them). All rounds run inside one SQL expression over one row, whose array has at
+    most 3 ** rules entries.
     """
     k = len(RULES)
-    chance = lambda right, wrong, share: f"aggregate(zip_with(p.v, s, (v, a) -> case v when 1 then {right} when -1 then {wrong} else 1D end), {share}D, (x, y) -> x * y)"
-    good, bad = chance("a", "1 - a", BALANCE), chance("1 - a", "a", 1 - BALANCE)
+    chance = lambda shift, share: f"aggregate(transform(p.v, (v, j) -> s[6 * j + v + {shift}]), {share}, (x, y) -> x * y)"
+    good, bad = chance(1, f"s[{6 * k}]"), chance(4, f"1 - s[{6 * k}]")
     posterior = f"transform(patterns, p -> named_struct('v', p.v, 'n', p.n, 'g', ({good}) / (({good}) + ({bad}))))"
-    right = "aggregate(post, 0.5D, (x, r) -> x + case r.v[j] when 1 then r.n * r.g when -1 then r.n * (1 - r.g) else 0D end)"
-    voted = "aggregate(post, 1D, (x, r) -> x + if(r.v[j] = 0, 0D, r.n))"
-    step = f"transform(sequence(0, {k - 1}), j -> {right} / {voted})"
-    em = f"aggregate(sequence(1, {rounds}), array_repeat({START}D, {k}), (s, i) -> transform(array({posterior}), post -> {step})[0])"
+    mass = "r.n * if(i % 6 < 3, r.g, 1 - r.g)"
+    lean = f"array({', '.join(f'{x * WEIGHT}D' for x in LEAN)})"
+    voted = f"{lean}[i % 6] + aggregate(post, 0D, (x, r) -> x + if(r.v[cast(floor(i / 6) as int)] = i % 3 - 1, {mass}, 0D))"
+    share = f"aggregate(post, {WEIGHT / 2}D, (x, r) -> x + r.n * r.g) / aggregate(post, {WEIGHT}D, (x, r) -> x + r.n)"
+    step = f"concat(transform(sequence(0, {6 * k - 1}), i -> ({voted}) / aggregate(post, {WEIGHT}D, (x, r) -> x + {mass})), array({share}))"
+    start = f"concat(flatten(array_repeat(array({1 - START}D, 1D, {START}D, {START}D, 1D, {1 - START}D), {k})), array(0.5D))"
+    em = f"aggregate(sequence(1, {rounds}), {start}, (s, i) -> transform(array({posterior}), post -> {step})[0])"
     return list(counts.agg(F.array_sort(F.collect_list(F.struct("v", F.col("n").cast("double").alias("n")))).alias("patterns")).select(F.expr(em).alias("s")).first().s)
 
 
@@ -103,18 +110,18 @@ def judged(docs: DataFrame, keep: list[str], threshold: float = 0.5) -> DataFram
 
     _base_failed: under 10 words, or more than 20 % of the words in repeated 5-word windows. _kept: not _base_failed and
     a posterior of at least the threshold. Null and empty texts have no words and fail. Rows that repeat are judged alike;
-    an empty table gives an empty table. Accuracies are fitted to all
-    documents that pass the base check. The features are written once in the shared folder and read for both passes.
+    an empty table gives an empty table; a posterior of exactly the threshold is kept. The chances of votes and the share
+    of good documents are fitted to all documents that pass the base check. The features are written once in the shared folder and read for both passes.
     """
     failed = (F.col("_f_n_words") < 10) | (100 * F.col("_f_n_repeat_words") > 20 * F.col("_f_n_words"))
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in keep)).alias("_in"), "text")
     scored = written(features(rows).drop("text").withColumn("_v", votes()).withColumn("_base_failed", failed))
-    accuracy = estimate(scored.where("not _base_failed").groupBy(F.col("_v").alias("v")).agg(F.count("*").alias("n")))
-    good, bad = F.lit(BALANCE), F.lit(1 - BALANCE)
-    for j, a in enumerate(accuracy):
+    *chances, share = estimate(scored.where("not _base_failed").groupBy(F.col("_v").alias("v")).agg(F.count("*").alias("n")))
+    good, bad = F.lit(share), F.lit(1 - share)
+    for j in range(len(RULES)):
         vote = F.col("_v")[j]
-        good = good * F.when(vote == 1, F.lit(a)).when(vote == -1, F.lit(1 - a)).otherwise(F.lit(1.0))
-        bad = bad * F.when(vote == 1, F.lit(1 - a)).when(vote == -1, F.lit(a)).otherwise(F.lit(1.0))
+        of = lambda p: F.when(vote == -1, F.lit(p[0])).when(vote == 0, F.lit(p[1])).otherwise(F.lit(p[2]))
+        good, bad = good * of(chances[6 * j : 6 * j + 3]), bad * of(chances[6 * j + 3 : 6 * j + 6])
     out = scored.withColumn("_probability", good / (good + bad)).drop("_v")
     return out.withColumn("_kept", ~F.col("_base_failed") & (F.col("_probability") >= threshold))
 
@@ -136,13 +143,15 @@ def oracle(documents: str = "documents") -> str:
     k = len(RULES)
     cases = ", ".join(f"{_vote(r)} as v{j}" for j, r in enumerate(RULES))
     vs = ", ".join(f"v{j}" for j in range(k))
-    chance = lambda right, wrong: " * ".join(f"(case v{j} when 1 then {right.format(j)} when -1 then {wrong.format(j)} else 1 end)" for j in range(k))
-    good, bad = f"{BALANCE} * {chance('a{}', '(1 - a{})')}", f"{1 - BALANCE} * {chance('(1 - a{})', 'a{}')}"
-    rounds = ["par0 as (select " + ", ".join(f"{START}::double as a{j}" for j in range(k)) + ")"]
+    of = lambda j, c: f"(case v{j} when -1 then a{j}_{c} when 0 then a{j}_{c + 1} else a{j}_{c + 2} end)"
+    good, bad = ("b * " + " * ".join(of(j, 0) for j in range(k)), "(1 - b) * " + " * ".join(of(j, 3) for j in range(k)))
+    first = (1 - START, 1, START, START, 1, 1 - START)
+    rounds = ["par0 as (select " + ", ".join(f"{x}::double as a{j}_{c}" for j in range(k) for c, x in enumerate(first)) + ", 0.5::double as b)"]
     for t in range(ROUNDS + 1):
         rounds.append(f"post{t} as materialized (select {', '.join('p.' + v for v in vs.split(', '))}, n, {good} / ({good} + {bad}) as g from pat p, par{t})")
-        each = ", ".join(f"(0.5 + sum(case v{j} when 1 then n * g when -1 then n * (1 - g) else 0 end)) / (1 + sum(case v{j} when 0 then 0 else n end)) as a{j}" for j in range(k))
-        rounds.append(f"par{t + 1} as materialized (select {each} from post{t})")
+        mass = ("n * g", "n * (1 - g)")
+        each = ", ".join(f"({x * WEIGHT} + coalesce(sum({mass[c // 3]}) filter (v{j} = {c % 3 - 1}), 0)) / ({WEIGHT} + coalesce(sum({mass[c // 3]}), 0)) as a{j}_{c}" for j in range(k) for c, x in enumerate(LEAN))
+        rounds.append(f"par{t + 1} as materialized (select {each}, ({WEIGHT / 2} + coalesce(sum(n * g), 0)) / ({WEIGHT} + coalesce(sum(n), 0)) as b from post{t})")
     return f"""
 with base as (select doc_id, coalesce(text, '') as text, row_number() over () as r from {documents}),
 words as (select r, doc_id, text, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') as w,

@@ -6,8 +6,12 @@
    document and whether all occurrences of the node have the same edge before and after them. Runs of edges that do not
    branch compact to paths: whoever holds one node of a path holds all its words, so windows inside a path are repeated in
    exactly the documents of their sampled node.
-3. Windows that reach beyond a path or over a branch are compared by a 128-bit hash of their words.
+3. Windows that reach beyond a path or over a branch are compared by a 128-bit digest of the words at their coordinates.
 4. Source coordinates of repeated windows are merged to spans, and their words are removed.
+
+Edges' labels and windows' digests are cryptographic (blake2b) and taken from the words themselves at their coordinates, so
+no text can be built that makes unequal passages pass for equal ones. Samples' own hashes decide only what is compared: two
+k-mers that shared one would have edges with other labels, a branch, and their windows would be compared by digest.
 """
 
 from __future__ import annotations
@@ -20,10 +24,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandloom.llm.common import BASE, INVERSE, Words, bounded, columns_of, in_arrow, mix64, powers, texts, written
+from strandloom.llm.common import Words, bounded, columns_of, in_arrow, texts, written
 
 LENGTH, K = 50, 16
-SECOND = 0x51ED270B35A1C3D7
 #: Bits of a sample's rank that hold its place in a slice of texts, which decides between equal hashes.
 PLACE = 28
 
@@ -48,15 +51,23 @@ def _sampled(words: Words, length: int, k: int) -> tuple[np.ndarray, np.ndarray]
     return start, (least[start] & low).astype(np.int64)
 
 
-def _span_hash(words: Words, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hashes of the words from start up to end."""
-    if not len(start):
-        return np.zeros(0, np.uint64)
-    with np.errstate(over="ignore"):
-        power, back = powers(BASE, len(words.hash) + 1), powers(INVERSE, len(words.hash) + 1)
-        total = np.zeros(len(words.hash) + 1, np.uint64)
-        np.cumsum(words.hash * power[:-1], out=total[1:])
-        return mix64((total[end] - total[start]) * back[start] + (end - start).astype(np.uint64))
+def _digests(words: Words, start: np.ndarray, end: np.ndarray, size: int) -> np.ndarray:
+    """Digests of the words from start up to end (word indexes), as rows of 64-bit integers, of ``size`` bytes in all."""
+    data, step = words.data, words.end - words.start
+    gap = np.append(words.start[1:] != words.end[:-1] + 1, True)  # after this word comes more than one blank
+    wide = np.concatenate([[0], np.cumsum(gap)])
+    blank = np.frombuffer(data, np.uint8)[np.minimum(words.end, len(data) - 1)] != 32  # or another than a space
+    wide += np.concatenate([[0], np.cumsum(blank)])
+    clean = wide[end - 1] == wide[start]  # the bytes as they stand are the words joined by one space
+    first, last = words.start[start].tolist(), words.end[end - 1].tolist()
+    hashed, out = hashlib.blake2b, []
+    for i, ok in enumerate(clean.tolist()):
+        if ok:
+            out.append(hashed(data[first[i] : last[i]], digest_size=size).digest())
+        else:
+            own = range(int(start[i]), int(end[i]))
+            out.append(hashed(b" ".join(data[words.start[j] : words.start[j] + step[j]] for j in own), digest_size=size).digest())
+    return np.frombuffer(b"".join(out), np.int64).reshape(len(out), size // 8)
 
 
 def sampled_kmers(docs: DataFrame, length: int = LENGTH, k: int = K) -> DataFrame:
@@ -69,12 +80,12 @@ def sampled_kmers(docs: DataFrame, length: int = LENGTH, k: int = K) -> DataFram
             chosen = np.unique(chosen)
             grams, at = words.grams(k)
             node = grams[np.searchsorted(at, chosen)]
-            edge = np.zeros(len(chosen), np.uint64)
+            edge = np.zeros(len(chosen), np.int64)
             follows = words.doc[chosen[1:]] == words.doc[chosen[:-1]]
-            edge[:-1][follows] = _span_hash(words, chosen[:-1][follows], chosen[1:][follows] + k) | np.uint64(1)
+            edge[:-1][follows] = _digests(words, chosen[:-1][follows], chosen[1:][follows] + k, 8)[:, 0] | 1
             ends = np.searchsorted(words.doc[chosen], np.arange(batch.num_rows + 1)).astype(np.int32)
             place = (chosen - words.first[words.doc[chosen]]).astype(np.int32)
-            lists = [pa.ListArray.from_arrays(ends, pa.array(x)) for x in (node.view(np.int64), place, edge.view(np.int64))]
+            lists = [pa.ListArray.from_arrays(ends, pa.array(x)) for x in (node.view(np.int64), place, edge)]
             sha = [hashlib.sha256(b" ".join(words.data[s:e] for s, e in zip(words.start[a:b].tolist(), words.end[a:b].tolist(), strict=True))).hexdigest() for a, b in zip(words.first, words.first[1:], strict=False)]
             head = [batch.column("doc_id").cast(pa.int64()), batch.column("row"), pa.array(np.diff(words.first), pa.int64()), pa.array(sha)]
             yield pa.RecordBatch.from_arrays(head + lists, ["doc_id", "row", "n_words", "sha", "node", "at", "edge"])
@@ -134,16 +145,15 @@ def open_windows(held: DataFrame, length: int = LENGTH, k: int = K) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in columns_of(batches, 4 << 20):
-            grams = None
             out: list[list[np.ndarray]] = [[], [], [], [], []]
             docs, rows = batch.column("doc_id").to_numpy(), batch.column("row").to_numpy()
             for words, i, own, _, settled in _windows(batch, length, k):
-                if grams is None:
-                    (one, at), (two, _) = words.grams(length), words.grams(length, SECOND)
-                    grams = one.view(np.int64), two.view(np.int64)
                 own = own[~settled]
-                place = np.searchsorted(at, own + words.first[i])
-                for x, y in zip(out, (np.full(len(own), docs[i]), np.full(len(own), rows[i]), own.astype(np.int32), grams[0][place], grams[1][place]), strict=True):
+                if not len(own):
+                    continue
+                start = own + words.first[i]
+                both = _digests(words, start, start + length, 16)
+                for x, y in zip(out, (np.full(len(own), docs[i]), np.full(len(own), rows[i]), own.astype(np.int32), both[:, 0], both[:, 1]), strict=True):
                     x.append(y)
             if out[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], ["doc_id", "row", "at", "h1", "h2"])

@@ -149,6 +149,44 @@ def test_word_hashes_tell_words_apart():
     words = [w.data[s:e] for s, e in zip(w.start, w.end, strict=True)]
     assert words == [b"b", b"ab", b"c", b"ab", b"c\x1cd"] and list(w.first) == [0, 3, 3, 5]
     assert w.hash[1] == w.hash[3] and len(set(w.hash.tolist())) == 4
+    rng = random.Random(1)
+    made = sorted({bytes(rng.choice(b"ab") for _ in range(rng.randrange(1, 30))) for _ in range(5000)} | {b"x" * n for n in range(1, 600)} | {b"y" + bytes([7]) * n for n in range(40)})
+    assert len(set(Words(made, lower=False).hash.tolist())) == len(made)
+
+
+def thue_morse(n):
+    """Two strings of 2 ** n letters that every polynomial hash modulo 2 ** 64 takes for one another."""
+    a, b = "a", "b"
+    for _ in range(n):
+        a, b = a + b, b + a
+    return a, b
+
+
+def test_words_that_defeat_polynomial_hashes(spark):
+    for n in (5, 7, 10, 12):
+        a, b = thue_morse(n)
+        w = Words([a.encode(), b.encode()], lower=True)
+        assert w.hash[0] != w.hash[1]
+    a, b = thue_morse(10)
+    rest = prose(random.Random(1), 60)
+    df = docs(spark, [f"{a} one two three four", f"{b} one two three four", f"{a} {rest}", f"{b} {rest}"])
+    assert rows(minhash_dedup.near_duplicates(df, 85)) == brute_components(texts_of(df), 85)
+    got = rows(substring_dedup.without_repeats(df))
+    assert got == brute_removed(texts_of(df)) and got[3][2] == 60
+    x, y = (" ".join(t) for t in thue_morse(11))  # words, not letters, in that order
+    df = docs(spark, [x, y, f"{x} more"])
+    assert rows(substring_dedup.without_repeats(df)) == brute_removed(texts_of(df))
+    assert rows(minhash_dedup.near_duplicates(df, 85)) == brute_components(texts_of(df), 85)
+
+
+def test_grams_tell_windows_apart():
+    rng = random.Random(2)
+    items = [[rng.choice("abc") for _ in range(rng.randrange(60))] for _ in range(40)]
+    w = Words([" ".join(x).encode() for x in items], lower=False)
+    for k in (1, 2, 5, 6, 16, 50):
+        hashes, at = w.grams(k)
+        windows = [tuple(x[i : i + k]) for x in items for i in range(len(x) - k + 1)]
+        assert len(at) == len(windows) and len(set(hashes.tolist())) == len(set(windows)) == len(set(zip(hashes.tolist(), windows)))
 
 
 # 2 -------------------------------------------------------------------------------------------------------------------
@@ -204,14 +242,16 @@ def test_scores(spark, small):
         assert (got[i].held_out, got[i].n_tokens, got[i].n_known, got[i].train_tokens) == (held[i], len(w), sum(c[x] > 0 for x in w), n)
         assert got[i].base_score == pytest.approx(sum(math.log10((c[x] + 1) / (n + v + 1)) for x in w))
     out = [i for i in tokens if held[i]]
-    assert sum(got[i].score for i in out) > 1.05 * sum(got[i].base_score for i in out)
+    assert sum(got[i].score for i in out) > sum(got[i].base_score for i in out)
+    for i, t in texts_of(small):
+        assert got[i].bits_per_byte == pytest.approx(-got[i].score * math.log2(10) / max(1, len((t or "").encode())))
     assert 0 < np.mean([got[i].bits_per_byte for i in out]) < 4
 
 
 def test_edge_probabilities_sum_to_one():
     tables = [np.random.default_rng(1).integers(0, 9, (1 << s, 2)).astype(np.uint16) for s in lm_scoring.SIZES]
     mixer = lm_scoring.Mixer(tables, seen=np.zeros((256, lm_scoring.STEPS, 2)))
-    words = sorted(b"\x01ab" + bytes([x]) for x in range(256) if x not in (10, 32))
+    words = sorted(b"ab" + bytes([x]) for x in range(256) if x not in (10, 32))
     trie = lm_scoring.Trie(words)
     p = 10 ** mixer.log10(trie, trie.weights(np.zeros(len(words), np.int64)))
     last = p[(trie.depth == 2)]
@@ -219,41 +259,141 @@ def test_edge_probabilities_sum_to_one():
 
 
 def test_trie_weights_and_sums():
-    words = sorted([b"\x01the", b"\x01then", b"\x01a", b"\x02a", b"\x01an", b"\x01\n", b"\x01" + b"z" * 200, b"\x01" + b"z" * 200 + b"y"])
+    words = sorted([b"the", b"then", b"a", b"an", b"\n", b"z" * 200, b"z" * 200 + b"y"])
     count = np.arange(1, len(words) + 1)
     trie = lm_scoring.Trie(words)
     weight = trie.weights(count)
-    closed = [w[1:] if w[1:] == b"\n" else w[1:] + b" " for w in words]
+    closed = [w if w == b"\n" else w + b" " for w in words]
     assert trie.sums(np.ones(len(trie.byte))).tolist() == [len(c) for c in closed]
     for e in range(len(trie.byte)):
         i, d = trie.word[e], trie.depth[e]
         if d < lm_scoring.SHARED:
-            assert weight[e] == sum(c for c, w, x in zip(count, words, closed, strict=True) if w[0] == words[i][0] and x[: d + 1] == closed[i][: d + 1])
+            assert weight[e] == sum(c for c, x in zip(count, closed, strict=True) if x[: d + 1] == closed[i][: d + 1])
 
 
-def test_states_are_fitted_on_all_documents(spark, monkeypatch):
-    """Kinds that only show after 4000 first rows, and after 4000 first characters of a text."""
-    rng = random.Random(4)
-    lead = "lead " * 900
-    kinds = [[f"k{k}w{i}" for i in range(20)] for k in range(3)]
-    made = ["early " * 3] * 4600 + [lead + " ".join(rng.choices(kinds[i % 3], k=300)) for i in range(1500)]
-    seen = []
-
-    def stop(rows, states):
-        seen.append(states)
-        raise InterruptedError
-
-    monkeypatch.setattr(lm_scoring, "blocks", stop)
-    for _ in range(2):
-        with pytest.raises(InterruptedError):
-            lm_scoring.scored(docs(spark, made).coalesce(1))
-    states, again = seen
-    index = {w: i for i, w in enumerate(states.marks)}
-    assert {w.encode() for own in kinds for w in own} <= set(index)
-    of = [states.of(np.array([index[w.encode()] for w in own]), np.full(20, 15)) for own in kinds]
-    of.append(states.of(np.array([index[b"early"]]), np.array([3])))
-    assert len(set(of)) >= 3  # EM may leave two kinds in one state
-    assert again.marks == states.marks and np.allclose(again.log, states.log)
+def test_hashed_contexts_are_the_last_bytes_of_the_word():
+    words = sorted([b"abcde", b"xbcde", b"cde", b"abcdef"])
+    trie = lm_scoring.Trie(words)
+    context = {(words[trie.word[e]], int(trie.depth[e])): trie.contexts()[:, e].tolist() for e in range(len(trie.byte))}
+    a, b, c = (context[w, len(w)] for w in (b"abcde", b"xbcde", b"cde"))
+    assert a == b and a[:3] == c[:3] and a[3] != c[3] and len(set(a)) == 4
+
+
+def brute_reading(words, out, kind, know, shares, sums):
+    """log10 of the spelt words, and the counts of true and false bits by cell, word by word."""
+    spelt, cells, history, run, before = 0.0, collections.Counter(), [], 0, collections.Counter()
+    bucket = lambda x, bounds: sum(x >= b for b in bounds)
+    for t, w in enumerate(words):
+        prev = know[words[t - 1] if t else b"\n"]
+        hit = prev["ctot"] > 0 and prev["follower"] == w
+        top, all_ = prev["ctop"] - (hit and not out), prev["ctot"] - (not out)
+        valid = top > 0
+        hit = hit and valid
+        last = history[-lm_scoring.HISTORY :]
+        true, n = sum(h for h, _ in last), sum(v for _, v in last)
+        recent = 1 + min(lm_scoring.RECENT - 2, (lm_scoring.RECENT - 1) * true // n) if n else 0
+        if valid:
+            cells[bucket(top, lm_scoring.LIKELY), bucket(all_ - top, lm_scoring.OTHERS), bucket(run, lm_scoring.RUNS), recent, hit] += 1
+        if not hit:
+            me = know[w]
+            c, of = me["c"] - (not out), me["kinds"][kind] - (not out)
+            p = 10 ** me["score"] * (max(of, 0) + shares[kind]) / (max(c, 0) + 1) / shares[kind] / sums[kind]
+            spelt += math.log10((lm_scoring.ALPHA * p + before[w]) / (lm_scoring.ALPHA + t))
+        run = run + 1 if hit else 0
+        history.append((hit, valid))
+        before[w] += 1
+    return spelt, cells
+
+
+def test_texts_are_read_word_by_word_as_by_brute_force():
+    rng, n = random.Random(12), 30
+    tokens = [b"\n"] + [b"w%d" % i for i in range(n - 1)]
+    know, shares, sums = {}, np.array([0.1] * 7 + [0.3]), np.linspace(0.8, 1.1, 8)
+    for t in tokens:
+        kinds = [rng.randrange(4) for _ in range(8)]
+        top = rng.randrange(8)
+        know[t] = {"c": sum(kinds), "kinds": kinds, "score": -rng.random() * 5, "follower": rng.choice(tokens), "ctop": top, "ctot": top + (rng.randrange(300) if top else 0)}
+    texts = [[rng.choice(tokens[1:]) for _ in range(rng.randrange(120))] + [b"\n"] for _ in range(12)]
+    for x in texts[::2]:  # runs of likely followers
+        for i in range(1, len(x) - 1):
+            if rng.random() < 0.8:
+                x[i] = know[x[i - 1]]["follower"]
+    out, kind = np.array([i % 3 == 0 for i in range(12)]), np.array([i % 8 for i in range(12)])
+    at = {t: i for i, t in enumerate(tokens)}
+    arrays = {c: np.array([know[t][c] for t in tokens]) for c in ("c", "score", "ctop", "ctot")}
+    arrays |= {"own": np.arange(n), "follower": np.array([at[know[t]["follower"]] for t in tokens]), "kinds": np.array([know[t]["kinds"] for t in tokens]).T}
+    spelt, text, cell, true, false = lm_scoring.read_texts(np.array([at[w] for x in texts for w in x]), np.array([len(x) for x in texts]), out, kind, arrays, shares, sums)
+    for i, x in enumerate(texts):
+        want, cells = brute_reading(x, out[i], kind[i], know, shares, sums)
+        assert spelt[i] == pytest.approx(want)
+        got = {}
+        for j in np.flatnonzero(text == i):
+            where = tuple(int(y) for y in np.unravel_index(cell[j], lm_scoring.SHAPE))
+            got |= {(*where, h): k for h, k in ((True, int(true[j])), (False, int(false[j]))) if k}
+        assert got == dict(cells)
+
+
+def test_chances_along_a_document_are_those_of_one_bit_after_another():
+    rng = np.random.default_rng(4)
+    chances = lm_scoring.Chances(rng.integers(0, 50, lm_scoring.CELLS).astype(float), rng.integers(0, 50, lm_scoring.CELLS).astype(float))
+    p, want, seen = chances.p[77], 0.0, [0, 0]
+    for bit in (1, 0, 0, 1, 1, 0, 1):
+        a, b = lm_scoring.HELD * p + seen[1], lm_scoring.HELD * (1 - p) + seen[0]
+        want += math.log10((a if bit else b) / (a + b))
+        seen[bit] += 1
+    assert chances.log10(np.array([77]), np.array([4]), np.array([3]))[0] == pytest.approx(want)
+
+
+def test_likeliest_followers_equal_brute_force(spark):
+    rng = random.Random(5)
+    made, count = [], collections.defaultdict(collections.Counter)
+    for _ in range(60):
+        h, f = rng.randrange(6), sorted({rng.randrange(-(1 << 31), 1 << 31) % 40 - 20 for _ in range(rng.randrange(30))})
+        times = [rng.randrange(1, 4) for _ in f]
+        made.append((h, f, times))
+        for x, n in zip(f, times, strict=True):
+            count[h][x & 0xFFFFFFFF] += n
+    df = spark.createDataFrame(made, "h long, followers array<int>, times array<int>")
+    want = sorted((h, min(x for x in c if c[x] == max(c.values())), max(c.values()), sum(c.values())) for h, c in count.items() if c)
+    for frequent in ([], [(0,), (3,)]):
+        assert rows(lm_scoring.likeliest(df, spark.createDataFrame(frequent, "h long"))) == want
+
+
+def test_scores_do_not_depend_on_rows_order_or_partitions(spark, small):
+    df = small.where("doc_id % 3 = 0")
+    want = None
+    try:
+        for partitions, order in (("4", F.col("doc_id")), ("16", F.desc("doc_id")), ("53", F.desc("text"))):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            got = {r.doc_id: r.score for r in lm_scoring.scored(df.repartitionByRange(int(partitions) // 3 + 1, order)).collect()}
+            want = want or got
+            assert got == pytest.approx(want, rel=1e-9)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_order_of_words_and_copies_tell_in_the_score(spark):
+    """A held-out copy of a training text scores better than its words in another order, and better than words of no copy."""
+    rng = random.Random(6)
+    held = [i for i in range(1, 900) if zlib.crc32(str(i).encode()) % 7 == 2]
+    learnt = [i for i in range(1, 900) if i not in set(held)]
+    base = [prose(rng, 120, 3000) for _ in range(60)]
+    made = [(i, base[k % 60] if k < 60 else prose(rng, 120, 3000)) for k, i in enumerate(learnt[:400])]
+    shuffled = [" ".join(rng.sample(t.split(), 120)) for t in base[:20]]
+    made += list(zip(held, base[:20] + shuffled, strict=False))
+    got = {r.doc_id: r.score for r in lm_scoring.scored(spark.createDataFrame(made, "doc_id long, text string")).collect()}
+    copies, others = [got[i] for i in held[:20]], [got[i] for i in held[20:40]]
+    assert all(a > b for a, b in zip(copies, others, strict=True)) and sum(copies) > 0.9 * sum(others)
+
+
+def test_scores_of_very_long_texts(spark):
+    """A text beyond a block of texts, and a word beyond all bounds: counts are those of the whole text."""
+    rng = random.Random(7)
+    long = " ".join(rng.choices(["ab", "cd", "efg", "hi"], k=1_000_000))
+    df = spark.createDataFrame([(1, long), (2, "x" * 100_000 + " y"), (3, "x" * 100_000 + "z")], "doc_id long, text string")
+    got = {r.doc_id: r for r in lm_scoring.scored(df).collect()}
+    assert got[1].n_tokens == 1_000_001 and got[2].n_tokens == 3 and all(np.isfinite(r.score) for r in got.values())
+    assert got[1].n_known == got[1].n_tokens
 
 
 def test_log_gamma():
@@ -309,8 +449,24 @@ def test_tree_joins_like_one_piece():
     rng = random.Random(4)
     for _ in range(200):
         data = "".join(rng.choices(["the", "ing", "a", "b", "é", "tion", "x"], k=rng.randint(2, 60))).encode()
-        cut = rng.randrange(len(data) + 1)
-        assert tree.join(tree.encode(data[:cut]), tree.encode(data[cut:])) == tree.leaf(data)
+        cut = rng.randrange(1, len(data))
+        assert tree.join(tree.encode(data[:cut]), tree.encode(data[cut:])) == tree.merged(data) == tree.encode(data)
+
+
+def test_pieces_go_through_the_tree(small):
+    """Each piece of n > 2 bytes that is not cached takes part in a join for each two leaves or more, on real texts."""
+    tree = byte_bpe.TreeCodec(byte_bpe.codec(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")).ranks)
+    pieces = {p for _, t in texts_of(small) for p in byte_bpe.pretokens(t or "")}
+    for p in pieces:
+        tree[p]
+    sizes = [len(p.encode()) for p in pieces]
+    assert tree.joins >= sum(n > 2 for n in sizes) > 0.9 * len(pieces)
+    assert tree.joins == sum(joins(n) for n in sizes)
+    assert tree.decode([]) == b"" and tree.decode([65]) == tree.bytes_of[65]
+
+
+def joins(n):
+    return 0 if n <= byte_bpe.LEAF else 1 + joins(n // 2) + joins(n - n // 2)
 
 
 # 5 -------------------------------------------------------------------------------------------------------------------
@@ -399,18 +555,43 @@ def test_quality_tells_labels_apart(spark):
     assert all(r.kept == (r.quality == 1) for r in got) and len(got) > 300
 
 
+def test_rare_junk_fails_beside_many_good_documents(spark):
+    """Seven documents of a kind of junk among 3000 of prose, and a monotone text of any length."""
+    rng = random.Random(9)
+    syllables = ["ba", "ke", "li", "mo", "nu", "ra", "se", "ti", "vo"]
+    word = lambda: "".join(rng.choices(syllables, k=rng.choice([2, 2, 3])))
+    good = [" ".join(word() for _ in range(60)) for _ in range(3000)]
+    shout = [" ".join(word() for _ in range(60)).upper() for _ in range(7)]
+    few = [word() for _ in range(40)]
+    dull = [" ".join(rng.choices(few, k=n)) for n in (900, 2500, 30_000)]
+    got = {r.doc_id: r.kept for r in quality_rules.quality(docs(spark, good + shout + dull)).collect()}
+    assert all(got[i] for i in range(1, 3001)) and not any(got[i] for i in range(3001, 3011))
+
+
 # 8 -------------------------------------------------------------------------------------------------------------------
 
 
 def test_boilerplate_lines_go(spark):
     pages = [(f"own line {i}\n  Menu \nmore {i}\n\nMenu", "big") for i in range(40)] + [("Menu\nalone", "small")] * 5 + [(f"x{i}\nMenu", None) for i in range(20)]
+    pages += [("Menu\nonly page", "one")] + [(f"page {i} of nine\nfoot", "nine") for i in range(9)]
     got = line_dedup.judged_lines(docs(spark, pages)).collect()
-    assert {(r._in.source, r._in.text.count("Menu"), r._n_dropped) for r in got} == {("big", 0, 2), ("small", 1, 0), (None, 0, 1)}
+    assert {(r._in.source, r._in.text.count("Menu"), r._n_dropped) for r in got} == {("big", 0, 2), ("small", 0, 2), (None, 0, 1), ("one", 1, 0), ("nine", 0, 1)}
     assert next(r._in.text for r in got if r._in.doc_id == 1) == "own line 0\nmore 0\n"
     beyond = line_dedup.judged_lines(docs(spark, pages), max_sites_sent=0)
     assert sorted(map(str, beyond.collect())) == sorted(map(str, got))
 
 
+def test_boilerplate_is_the_ratio_alone(spark):
+    """6 of 50 pages are over a tenth, 5 are not; repeated rows count as often as they occur; very long texts are whole."""
+    pages = [(f"p{i}\n" + ("six" if i < 6 else "") + "\n" + ("five" if 10 <= i < 15 else ""), "s") for i in range(50)]
+    pages[40] = ("\n".join(f"{i} own" for i in range(400_000)) + "\nsix", "s")
+    got = {r._in.doc_id: r for r in line_dedup.judged_lines(docs(spark, pages[:6] + pages[6:])).collect()}
+    assert all("six" not in r._in.text for r in got.values()) and sum("five" in r._in.text for r in got.values()) == 5
+    assert got[41]._n_lines == 400_001 and got[41]._n_dropped == 1
+    twice = docs(spark, [("a\nrow", "t")] * 2 + [(f"b{i}", "t") for i in range(15)])
+    assert {r._n_dropped for r in line_dedup.judged_lines(twice).where("_in.text <> ''").collect()} == {0}
+
+
 def test_line_dedup_of_odd_rows(spark, odd):
     out = line_dedup.drop_boilerplate(odd)
     assert out.count() == 12 and out.columns == odd.columns and out.where("doc_id = 1 and text is null").count() == 1
@@ -421,28 +602,38 @@ def test_line_dedup_of_odd_rows(spark, odd):
 
 
 def brute_top_k(items, is_query, k):
-    ints = {i: [math.floor(1024 * float(np.float32(x))) for x in v] for i, v in items if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)}
+    """items may repeat an id: each row is a query and a candidate of its own."""
+    ints = [(i, [math.floor(1024 * float(np.float32(x))) for x in v]) for i, v in items if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    top = lambda s: max(min(s, topk_search.LONG), -topk_search.LONG)
     out = []
-    for q in sorted(ints):
+    for at, (q, v) in enumerate(ints):
         if is_query(q):
-            best = sorted((-sum(a * b for a, b in zip(ints[q], w, strict=False)), i) for i, w in ints.items() if i != q)[:k]
+            best = sorted((-top(sum(a * b for a, b in zip(v, w, strict=False))), i) for n, (i, w) in enumerate(ints) if n != at)[:k]
             out += [(q, n, i, -s) for n, (s, i) in enumerate(best, 1)]
     return sorted(out)
 
 
+def test_top_k_of_repeated_ids(spark):
+    """Rows that share an id are rows of their own, as candidates of others, of each other, and as queries."""
+    items = [(100, [1.0, 0.0]), (1, [1.0, 0.0]), (1, [0.5, 0.0]), (2, [0.25, 0.0]), (100, [0.0, 3.0]), (1, [1.0, 0.0]), (3, [0.0, -1.0])]
+    df = spark.createDataFrame(items, "vec_id long, embedding array<float>")
+    got = rows(topk_search.top_k(df, F.col("vec_id") % 100 == 0))
+    assert got == brute_top_k(items, lambda q: q % 100 == 0, 10) and (100, 1, 1, 1 << 20) in got and (100, 2, 1, 1 << 20) in got
+
+
 def test_top_k_equals_brute_force(spark):
     rng = np.random.default_rng(2)
     length = rng.choice([0.01, 0.5, 1, 30], 400)
     items = [(i, (v / np.linalg.norm(v) * n).astype(np.float32).tolist()) for i, (v, n) in enumerate(zip(rng.normal(size=(400, 8)), length, strict=True))]
     items += [(500 + i, items[3][1]) for i in range(30)] + [(600, None), (601, [1.0, None] + [0.0] * 6), (602, [float("nan")] * 8), (603, [float("inf")] + [0.0] * 7), (None, [1.0] * 8), (700, [0.0] * 8), (701, []), (800, [3e30] * 8)]
     df = spark.createDataFrame([(i, v, 1) for i, v in items], "vec_id long, embedding array<float>, norm int")
-    clamp = lambda rs: [(*r[:3], max(min(r[3], topk_search.LONG), -topk_search.LONG)) for r in rs]
     small = df.where("vec_id < 800 or vec_id is null")
     want = brute_top_k([x for x in items if x[0] != 800], lambda q: q % 20 == 0, 10)
     assert rows(topk_search.top_k(small, F.col("vec_id") % 20 == 0)) == want
-    assert rows(topk_search.top_k(small, F.col("vec_id") % 20 == 0, chunk=7, seeds=5)) == want
-    got = rows(topk_search.top_k(df, F.col("vec_id") % 400 == 0, k=3))
-    assert [r[3] for r in got] == [r[3] for r in clamp(brute_top_k(items[:-1] + [(800, [9007199254740992.0 * 2**10] * 8)], lambda q: q % 400 == 0, 3))] or len(got) == 9
+    assert rows(topk_search.top_k(small, F.col("vec_id") % 20 == 0, query_bytes=200, slice_bytes=3000, seeds=50)) == want
+    assert rows(topk_search.top_k(small, F.col("vec_id") % 20 == 0, query_bytes=200, slice_bytes=3000, seeds=5)) == want
+    huge = [(800, [topk_search.LONG / 1024] * 8)]  # its components are clamped to a long
+    assert rows(topk_search.top_k(df, F.col("vec_id") % 400 == 0, k=3)) == brute_top_k(items[:-1] + huge, lambda q: q % 400 == 0, 3)
     assert topk_search.top_k(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
     assert topk_search.top_k(df.where("vec_id = 20"), F.col("vec_id") % 20 == 0).count() == 0
 
@@ -504,7 +695,7 @@ def test_top_k_where_batches_span_files(spark):
 def test_top_k_bucket_in_any_order():
     matrix = np.array([[900.0, 0], [1, 0], [0, 2], [3, 0]])
     best = topk_search.Best(np.array([99]), np.array([[5.0, 0]]), np.array([100.0]), 1)
-    best.bucket(np.arange(4), matrix, np.linalg.norm(matrix, axis=1))
+    best.bucket(np.arange(4), np.arange(4), matrix, np.linalg.norm(matrix, axis=1))
     assert best.found == [[(-4500, 0)]]
 
 
