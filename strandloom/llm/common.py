@@ -33,9 +33,13 @@ def packed(df: DataFrame, *names: str) -> DataFrame:
 
 
 def written(df: DataFrame, *partition_by: str) -> DataFrame:
-    """Cuts lineage: df as a Parquet table in the shared folder, read back; discard or session.clean delete it."""
+    """Cuts lineage: df as a Parquet table in the shared folder, read back; discard or session.clean delete it.
+
+    Shuffle files of what has been written are not read again; Spark deletes them once the driver has collected its garbage.
+    """
     spark, path = df.sparkSession, work_folder(df.sparkSession)
     df.write.partitionBy(*partition_by).parquet(path)
+    spark._jvm.System.gc()
     out = spark.read.schema(df.schema).parquet(path)
     out._work_path = path
     return out

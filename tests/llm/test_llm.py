@@ -355,8 +355,8 @@ def test_likeliest_followers_equal_brute_force(spark):
             count[h][x & 0xFFFFFFFF] += n
     df = spark.createDataFrame(made, "h long, followers array<int>, times array<int>")
     want = sorted((h, min(x for x in c if c[x] == max(c.values())), max(c.values()), sum(c.values())) for h, c in count.items() if c)
-    for frequent in ([], [(0,), (3,)]):
-        assert rows(lm_scoring.likeliest(df, spark.createDataFrame(frequent, "h long"))) == want
+    for frequent, buckets in (([], 1), ([0, 3], 5), ([2], 200)):
+        assert rows(lm_scoring.likeliest(df, frequent, buckets)) == want
 
 
 def test_scores_do_not_depend_on_rows_order_or_partitions(spark, small):
@@ -377,8 +377,8 @@ def test_order_of_words_and_copies_tell_in_the_score(spark):
     rng = random.Random(6)
     held = [i for i in range(1, 900) if zlib.crc32(str(i).encode()) % 7 == 2]
     learnt = [i for i in range(1, 900) if i not in set(held)]
-    base = [prose(rng, 120, 3000) for _ in range(60)]
-    made = [(i, base[k % 60] if k < 60 else prose(rng, 120, 3000)) for k, i in enumerate(learnt[:400])]
+    base = [prose(rng, 120, 30_000) for _ in range(60)]
+    made = [(i, base[k % 60] if k < 60 else prose(rng, 120, 30_000)) for k, i in enumerate(learnt[:400])]
     shuffled = [" ".join(rng.sample(t.split(), 120)) for t in base[:20]]
     made += list(zip(held, base[:20] + shuffled, strict=False))
     got = {r.doc_id: r.score for r in lm_scoring.scored(spark.createDataFrame(made, "doc_id long, text string")).collect()}
