@@ -53,19 +53,24 @@ def ranked(df: DataFrame, by: str, order: str, ties: tuple[str, ...] = (), split
     """rank (ties share the lowest) and row number of rows in each group by a number, as _rank and _row; nulls come last.
 
     Groups may be large: rows are dealt by approximate quantiles of their group, each share is ranked by itself, and the
-    shares' sizes, summed up, are added. Equal numbers fall into the same share.
+    shares' sizes, summed up, are added. Equal numbers fall into the same share. A number that many rows have is a cut, and
+    a share of its own: all its rows have one rank, and without ties to order them they are numbered in parts.
     """
     steps = [i / splits for i in range(1, splits)]
     cuts = df.groupBy(by).agg(F.percentile_approx(order, steps, 10 * splits).alias("_cuts"))
     rows = df.join(F.broadcast(cuts), df[by].eqNullSafe(cuts[by])).drop(cuts[by])  # a row of fixed size for each group
-    rows = rows.withColumn("_share", F.when(F.col(order).isNull(), splits + 1).otherwise(F.size(F.filter("_cuts", lambda c: c < F.col(order))))).drop("_cuts")
-    sizes = rows.groupBy(by, "_share").agg(F.count("*").alias("_size"))
-    sizes = sizes.withColumn("_before", F.coalesce(F.sum("_size").over(Window.partitionBy(by).orderBy("_share").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    sizes = sizes.select(F.col(by).alias("_by"), F.col("_share").alias("_s"), "_before")
-    rows = rows.join(F.broadcast(sizes), rows[by].eqNullSafe(F.col("_by")) & (F.col("_share") == F.col("_s"))).drop("_by", "_s")
-    own = Window.partitionBy(by, "_share")
-    rows = rows.withColumn("_rank", F.rank().over(own.orderBy(order)) + F.col("_before"))
-    return rows.withColumn("_row", F.row_number().over(own.orderBy(order, *ties)) + F.col("_before")).drop("_share", "_before")
+    rows = rows.withColumn("_share", F.when(F.col(order).isNull(), 2 * splits + 2).otherwise(2 * F.size(F.filter("_cuts", lambda c: c < F.col(order))) + F.array_contains("_cuts", F.col(order)).cast("int"))).drop("_cuts")
+    part = F.lit(0) if ties else F.when(F.col("_share") % 2 == 1, F.pmod(F.monotonically_increasing_id(), F.lit(64)).cast("int")).otherwise(0)
+    rows = rows.withColumn("_part", part)
+    rows = rows.withColumn("_only", F.col("_share") % 2 == 1)
+    sizes = rows.groupBy(by, "_share", "_part").agg(F.count("*").alias("_size"))
+    sizes = sizes.withColumn("_before", F.coalesce(F.sum("_size").over(Window.partitionBy(by).orderBy("_share", "_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    sizes = sizes.withColumn("_first", F.min("_before").over(Window.partitionBy(by, "_share")))
+    sizes = sizes.select(F.col(by).alias("_by"), F.col("_share").alias("_s"), F.col("_part").alias("_q"), "_before", "_first")
+    rows = rows.join(F.broadcast(sizes), rows[by].eqNullSafe(F.col("_by")) & (F.col("_share") == F.col("_s")) & (F.col("_part") == F.col("_q"))).drop("_by", "_s", "_q")
+    own = Window.partitionBy(by, "_share", "_part")
+    rows = rows.withColumn("_rank", F.when(F.col("_only"), F.col("_first") + 1).otherwise(F.rank().over(own.orderBy(order)) + F.col("_before")))
+    return rows.withColumn("_row", F.row_number().over(own.orderBy(order, *ties)) + F.col("_before")).drop("_share", "_before", "_part", "_only", "_first")
 
 
 def quantile_normalized(df: DataFrame, file: str = "file", score: str = "score") -> DataFrame:

@@ -136,8 +136,9 @@ def nearest(features: DataFrame, annotation: DataFrame) -> DataFrame:
     def carried(at: str, other: str, name: str, forward: bool) -> DataFrame:
         rows = f.select("sequence", F.col(at).alias("p"), "_id", F.lit(None).cast("long").alias("v"))
         rows = rows.unionByName(annotation.select("sequence", F.col(other).alias("p"), F.lit(None).cast("long").alias("_id"), F.col(other).cast("long").alias("v")))
-        w = Window.partitionBy("sequence").orderBy("p")
-        found = F.max("v").over(w.rangeBetween(Window.unboundedPreceding, -1)) if forward else F.min("v").over(w.rangeBetween(1, Window.unboundedFollowing))
+        # both frames grow from the first row on, so each row is added once; for the next start, positions descend
+        w = Window.partitionBy("sequence").orderBy("p" if forward else F.desc("p")).rangeBetween(Window.unboundedPreceding, -1)
+        found = F.max("v").over(w) if forward else F.min("v").over(w)
         return rows.withColumn(name, found).where("_id is not null").select("_id", name)
 
     out = f.join(carried("start", "end", "previous_end", True), "_id").join(carried("end", "start", "next_start", False), "_id")
@@ -157,13 +158,13 @@ def lifted(df: DataFrame, dictionary: DataFrame, columns: tuple[str, ...] = ("st
     A row of a known sequence of which a coordinate is in no segment is dropped.
     """
     known = dictionary.select("sequence").distinct().withColumn("_known", F.lit(True))
+    segments = dictionary.select("sequence", F.col("from_start").alias("start"), F.col("from_end").alias("end"), "to_start")
     out = df.join(known, "sequence", "left")
     for c in columns:
-        d = dictionary.select(F.col("sequence").alias("_s"), "from_start", "from_end", "to_start")
-        # segments of a sequence don't overlap, so a coordinate meets one at most
-        out = out.join(d, (out["sequence"] == F.col("_s")) & (F.col(c) >= F.col("from_start")) & (F.col(c) <= F.col("from_end")), "left")
-        moved = F.when(F.col("_known"), F.col(c) - F.col("from_start") + F.col("to_start")).otherwise(F.col(c))
-        out = out.withColumn(c, moved).drop("_s", "from_start", "from_end", "to_start")
+        # a coordinate is an interval of one position, which meets one segment of its sequence at most
+        points = out.select("sequence", F.col(c).alias("start"), F.col(c).alias("end"), F.struct(*(F.col(f"`{x}`") for x in out.columns)).alias("_in"))
+        moved = F.when(F.col("_in._known"), F.col("start") - F.col("r_start") + F.col("r_to_start")).otherwise(F.col("start"))
+        out = overlap_join(points, segments, "left").select("_in.*", moved.alias("_moved")).withColumn(c, F.col("_moved")).drop("_moved")
     return out.where(" and ".join(f"{c} is not null" for c in columns)).drop("_known")
 
 

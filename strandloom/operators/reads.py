@@ -129,23 +129,64 @@ def sam_competition(a: DataFrame, b: DataFrame) -> DataFrame:
     return both.select("read_id", winner.alias("winner"))
 
 
-def paired(left: DataFrame, right: DataFrame, offset: int, distance: int, seed: int = 0, at_random: bool = False) -> DataFrame:
-    """read_id, class and the chosen left and right position of mates.
-
-    left and right: read_id, matches (array of (seqid, position)). Of the pairs on one sequence whose distance lies within
-    offset .. offset + distance, the one with the smallest distance is taken, ties to the smaller position (or, at_random,
-    to a hash of seed and positions). class: matches left x right, each 0, 1 or R (several), and whether a pair was found.
+def _picked(n: Column, seed: int, end: int) -> Column:
+    """A number below n, the same for each run with the seed, by a digest of the read's id and end."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:{end}:"), F.col("read_id").cast("string")).cast("binary"))
+    return F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long"), F.greatest(n, F.lit(1))).cast("int")
+
+
+def paired(left: DataFrame, right: DataFrame, offset: int = 0, distance: int = 300, seed: int = 0, at_random: bool = False, trust_second: bool = False, single_ends: bool = False) -> DataFrame:
+    """Both ends of every pair: read_id, mate, class, seqid, start, end, strand, mismatches, score.
+
+    left and right: read_id, size (of the read), matches (array of seqid, length of that sequence, reverse, position on its
+    own strand, mismatches). class: the matches of /1 and /2, each NM, U or R, with * at an end that was placed at random.
+    Ends fit if they lie on opposite strands of a sequence (single_ends: on the same one) and, mirrored, at most offset +
+    distance apart; with several matches the nearest pair counts, the first of equal ones, and must be offset apart at
+    least. Ends that fit are both placed. Else a unique /1 read is trusted, a unique /2 read only without a match of /1 and
+    with trust_second, and an end with several matches gets one at random if at_random (/2: and trust_second). An end that
+    is not placed has nulls and score 0, or the number of its matches where it has several and its mate has none.
     """
-    kind = lambda c: F.when(F.size(c) == 0, "0").when(F.size(c) == 1, "1").otherwise("R")
-    both = left.select("read_id", F.coalesce("matches", F.array()).alias("l")).join(right.select("read_id", F.coalesce("matches", F.array()).alias("r")), "read_id")
-    both = both.withColumn("class", F.concat(kind("l"), kind("r")))
-    pairs = both.select("read_id", F.explode("l").alias("x"), "r").select("read_id", "x", F.explode("r").alias("y"))
-    gap = F.col("y.position") - F.col("x.position")
-    pairs = pairs.where((F.col("x.seqid") == F.col("y.seqid")) & gap.between(offset, offset + distance))
-    tie = F.xxhash64(F.lit(seed), "read_id", "x.position", "y.position") if at_random else F.col("x.position")
-    best = pairs.groupBy("read_id").agg(F.min(F.struct(gap.alias("gap"), tie.alias("tie"), F.col("x.seqid").alias("seqid"), F.col("x.position").alias("left_position"), F.col("y.position").alias("right_position"))).alias("b"))
-    out = both.select("read_id", "class").join(best, "read_id", "left")
-    return out.select("read_id", "class", "b.seqid", "b.left_position", "b.right_position", F.col("b").isNotNull().alias("found"))
+    cells = ("size", "matches")
+    both = left.select("read_id", *(F.col(c).alias(f"l_{c}") for c in cells)).join(right.select("read_id", *(F.col(c).alias(f"r_{c}") for c in cells)), "read_id", "full")
+    none = F.filter(F.coalesce("l_matches", "r_matches"), lambda x: F.lit(False))
+    both = both.withColumns({"l": F.coalesce("l_matches", none), "r": F.coalesce("r_matches", none)})
+    n, m = F.size("l"), F.size("r")
+
+    def gap(x: Column, y: Column) -> Column:
+        if single_ends:
+            return F.when((x["seqid"] == y["seqid"]) & (x["reverse"] == y["reverse"]), F.abs(x["position"] - y["position"]) - F.col("l_size"))
+        return F.when((x["seqid"] == y["seqid"]) & (x["reverse"] != y["reverse"]), F.abs(x["length"] - x["position"] + 1 - y["position"]))
+
+    pairs = F.flatten(F.transform("l", lambda x, i: F.transform("r", lambda y, j: F.struct(gap(x, y).alias("gap"), i.alias("i"), j.alias("j")))))
+    best = F.array_min(F.filter(pairs, lambda p: p["gap"] <= offset + distance))
+    both = both.withColumn("best", best).withColumn("fit", F.coalesce((F.col("best.gap") >= offset) | ((n == 1) & (m == 1) & F.col("best").isNotNull()), F.lit(False)))
+    fit, lost = F.col("fit"), F.lit(None).cast("int")
+    random_l, random_r = F.lit(at_random) & (n > 1) & ~fit, F.lit(at_random and trust_second) & (((m > 1) & ~fit) | ((n > 1) & (m == 1) & ~fit))
+    at_l = F.when(n == 0, lost).when(fit, F.col("best.i")).when(n == 1, 0).when(random_l, _picked(n, seed, 1))
+    at_r = F.when(m == 0, lost).when(fit, F.col("best.j")).when((n == 0) & (m == 1) & F.lit(trust_second), 0).when(random_r, _picked(m, seed, 2))
+    kind = lambda c: F.when(c == 0, "NM").when(c == 1, "U").otherwise("R")
+    name = F.concat(kind(n), F.lit("/"), kind(m))
+    star = lambda c: F.when(c, "*").otherwise("")
+    ends = F.array(
+        F.struct(F.lit(1).alias("mate"), F.concat(name, star(random_l)).alias("class"), F.get("l", at_l).alias("x"), F.col("l_size").alias("size"), F.when((n > 1) & (m == 0), n).otherwise(0).alias("several")),
+        F.struct(F.lit(2).alias("mate"), F.concat(name, star(random_r)).alias("class"), F.get("r", at_r).alias("x"), F.col("r_size").alias("size"), F.when((m > 1) & (n == 0), m).otherwise(0).alias("several")),
+    )
+    x = F.col("e.x")
+    placed = both.select("read_id", F.explode(ends).alias("e"))
+    score = F.when(x.isNotNull(), 1).otherwise(F.col("e.several"))
+    strand = F.when(x["reverse"], "-").when(~x["reverse"], "+")
+    return placed.select(
+        "read_id", "e.mate", "e.class", x["seqid"].alias("seqid"), x["position"].alias("start"), (x["position"] + F.col("e.size") - 1).alias("end"), strand.alias("strand"), x["mismatches"].alias("mismatches"), score.alias("score")
+    )
+
+
+def targets(placed: DataFrame, seqs: DataFrame, around: int = 2) -> DataFrame:
+    """read_id, mate and target of placed ends: the reference's bases there in their direction, with some on each side."""
+    rows = placed.where("seqid is not null").join(seqs.select(F.col("seq_id").alias("seqid"), F.length("sequence").alias("_n")), "seqid")
+    back = F.col("strand") == "-"
+    low, high = F.when(back, F.col("_n") - F.col("end") + 1).otherwise(F.col("start")), F.when(back, F.col("_n") - F.col("start") + 1).otherwise(F.col("end"))
+    features = rows.select(F.struct("read_id", "mate").alias("id"), F.col("seqid").alias("seq_id"), low.alias("start"), high.alias("end"), "strand")
+    return extracted(seqs, features, around).select("id.read_id", "id.mate", F.col("bases").alias("target"))
 
 
 def resolved(hits: DataFrame, most: int, seed: int = 0, at_random: bool = True) -> DataFrame:
@@ -157,43 +198,75 @@ def resolved(hits: DataFrame, most: int, seed: int = 0, at_random: bool = True)
     return hits.select("read_id", kind.alias("kind"), at["seqid"].alias("seqid"), at["position"].alias("position"))
 
 
-def simulated_reads(spark, n: int, lengths: DataFrame, read_length: int, rate: float, seed: int = 0) -> DataFrame:
-    """M9: read_id, sequence, start and converted (by hash, so a repeated task makes the same reads)."""
-    h = lambda salt: F.pmod(F.xxhash64(F.lit(seed), F.lit(salt), "id"), F.lit(1 << 40)) / float(1 << 40)
+def simulated_reads(ids: DataFrame, lengths: DataFrame, read_length: int, rate: float, seed: int = 0) -> DataFrame:
+    """M9: read_id, sequence, start, end and converted for each id (by digest, so a repeated task makes the same reads)."""
+    name = lambda salt: F.concat(F.lit(f"{seed}:{salt}:"), F.col("id").cast("string")).cast("binary")
+    h = lambda salt: F.conv(F.substring(F.md5(name(salt)), 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52))
     seqs = lengths.select(F.array_sort(F.collect_list(F.struct("sequence", "length"))).alias("s"))  # one row of a small table
-    rows = spark.range(n).join(F.broadcast(seqs)).withColumn("x", F.get("s", F.floor(h(1) * F.size("s")).cast("int")))
+    rows = ids.select("id").join(F.broadcast(seqs)).withColumn("x", F.get("s", F.floor(h(1) * F.size("s")).cast("int")))
     start = F.floor(h(2) * (F.col("x.length") - read_length + 1)).cast("int") + 1
     return rows.select(F.col("id").alias("read_id"), F.col("x.sequence").alias("sequence"), start.alias("start"), (start + read_length - 1).alias("end"), (h(3) < rate).alias("converted"))
 
 
+PIECE = 128
+
+
+def _whole(seqs: DataFrame, parts: DataFrame) -> DataFrame:
+    """seqs with the sequences that parts (seq_id, offset, piece) make, in order."""
+    made = parts.groupBy("seq_id").agg(F.array_sort(F.collect_list(F.struct("offset", "piece"))).alias("_p"))
+    made = made.select(F.col("seq_id").alias("_id"), F.array_join(F.transform("_p", lambda x: x["piece"]), "").alias("_s"))
+    out = seqs.join(made, seqs["seq_id"] == F.col("_id"), "left")
+    return out.withColumn("sequence", F.coalesce("_s", "sequence")).drop("_id", "_s")
+
+
 def patched(seqs: DataFrame, snps: DataFrame) -> DataFrame:
-    """Sequences with single bases replaced by a table of (seq_id, pos, alt); positions outside are ignored."""
-    changes = snps.groupBy("seq_id").agg(F.map_from_entries(F.collect_list(F.struct(F.col("pos").cast("int"), "alt"))).alias("_m"))
-    letters = F.transform(F.split("sequence", ""), lambda x, i: F.coalesce(F.element_at(F.col("_m"), i + 1), x))
-    out = seqs.join(changes, "seq_id", "left")
-    return out.withColumn("sequence", F.when(F.col("_m").isNull(), F.col("sequence")).otherwise(F.array_join(letters, ""))).drop("_m")
+    """Sequences with single bases replaced by a table of (seq_id, pos, alt); positions outside are ignored.
+
+    Changes meet the piece that they are in, so a letter is looked up among the changes of its piece. Of several changes of
+    a place the smallest letter counts.
+    """
+    one = snps.groupBy("seq_id", F.col("pos").cast("long").alias("pos")).agg(F.min("alt").alias("alt"))
+    offset = F.expr(f"((pos - 1) div {PIECE}) * {PIECE}")
+    changes = one.where("pos > 0").select(F.col("seq_id").alias("_id"), offset.alias("_at"), F.struct((F.col("pos") - offset).cast("int").alias("i"), "alt").alias("c"))
+    changes = changes.groupBy("_id", "_at").agg(F.map_from_entries(F.collect_list("c")).alias("_m"))
+    parts = pieces(seqs, size=PIECE)
+    parts = parts.join(changes, (parts["seq_id"] == F.col("_id")) & (parts["offset"] == F.col("_at")), "left")
+    letters = F.transform(F.split("piece", ""), lambda x, i: F.coalesce(F.element_at(F.col("_m"), i + 1), x))
+    return _whole(seqs, parts.select("seq_id", "offset", F.when(F.col("_m").isNull(), F.col("piece")).otherwise(F.array_join(letters, "")).alias("piece")))
 
 
 def genome_diff(a: DataFrame, b: DataFrame) -> DataFrame:
     """seq_id, pos, ref, alt where two sequences of the same id differ within their common length."""
-    both = a.select("seq_id", F.col("sequence").alias("x")).join(b.select("seq_id", F.col("sequence").alias("y")), "seq_id").where("x <> y")
+    both = pieces(a, size=PIECE).select("seq_id", "offset", F.col("piece").alias("x")).join(pieces(b, size=PIECE).select("seq_id", "offset", F.col("piece").alias("y")), ["seq_id", "offset"]).where("x <> y")
     cells = F.zip_with(F.split("x", ""), F.split("y", ""), lambda p, q: F.struct(p.alias("ref"), q.alias("alt")))
-    rows = both.select("seq_id", F.posexplode(cells).alias("i", "c"))
-    return rows.where("c.ref <> c.alt").select("seq_id", (F.col("i") + 1).alias("pos"), "c.ref", "c.alt")
+    rows = both.select("seq_id", "offset", F.posexplode(cells).alias("i", "c"))
+    return rows.where("c.ref <> c.alt").select("seq_id", (F.col("offset") + F.col("i") + 1).cast("int").alias("pos"), "c.ref", "c.alt")
 
 
 def assembled(parts: DataFrame, seqs: DataFrame, gap: int = 0) -> DataFrame:
     """Scaffolds (object, sequence): parts' sequences in order, reversed and complemented on -, with N between them."""
-    piece = sq.subsequence(F.col("sequence"), F.col("start"), F.col("end"), F.col("strand") == "-")
-    rows = parts.join(seqs, "seq_id").select("object", F.struct(F.col("part"), piece.alias("p")).alias("x"))
+    rows = extracted(seqs, parts.withColumn("id", F.struct("object", "part"))).select("id.object", F.struct(F.col("id.part"), F.col("bases")).alias("x"))
     ordered = rows.groupBy("object").agg(F.array_sort(F.collect_list("x")).alias("x"))
-    return ordered.select("object", F.array_join(F.transform("x", lambda x: x["p"]), "N" * gap).alias("sequence"))
+    return ordered.select("object", F.array_join(F.transform("x", lambda x: x["bases"]), "N" * gap).alias("sequence"))
 
 
 def extracted(seqs: DataFrame, features: DataFrame, flank: int = 0) -> DataFrame:
-    """Each feature's bases (id, bases), with flanks, in its own direction."""
-    rows = features.join(seqs.select("seq_id", "sequence"), "seq_id")
-    return rows.select("id", sq.subsequence(F.col("sequence"), F.col("start") - flank, F.col("end") + flank, F.col("strand") == "-").alias("bases"))
+    """Each feature's bases (id, bases), with flanks, in its own direction; cut to the sequence, which must be known.
+
+    A feature meets the pieces that it touches, so no row holds more of a sequence than a feature's own bases.
+    """
+    low, high = F.greatest(F.lit(1), F.col("start") - flank).cast("long"), (F.col("end") + flank).cast("long")
+    rows = features.join(seqs.select("seq_id", F.length("sequence").alias("_n")), "seq_id")
+    rows = rows.select("id", "seq_id", low.alias("_low"), F.least(high, F.col("_n")).alias("_high"), (F.col("strand") == "-").alias("_back"), F.monotonically_increasing_id().alias("_f"))
+    at = F.when(F.col("_low") <= F.col("_high"), F.sequence(F.expr(f"(_low - 1) div {PIECE}"), F.expr(f"(_high - 1) div {PIECE}")))
+    rows = rows.withColumn("_at", F.explode_outer(at)).withColumn("_at", F.col("_at") * PIECE)
+    parts = pieces(seqs, size=PIECE).select(F.col("seq_id").alias("_id"), "offset", "piece")
+    rows = rows.join(parts, (F.col("seq_id") == F.col("_id")) & (F.col("_at") == F.col("offset")), "left")
+    first = F.greatest(F.col("_low") - F.col("offset"), F.lit(1))
+    own = F.substring("piece", first.cast("int"), (F.col("_high") - F.col("offset") - first + 1).cast("int"))
+    whole = rows.groupBy("_f").agg(F.first("id").alias("id"), F.first("_back").alias("_back"), F.array_sort(F.collect_list(F.struct("offset", own.alias("own")))).alias("_p"))
+    bases = F.array_join(F.transform("_p", lambda x: x["own"]), "")
+    return whole.select("id", F.when(F.col("_back"), sq.reverse_complement(bases)).otherwise(bases).alias("bases"))
 
 
 def trimmed(reads: DataFrame, adapter: str) -> DataFrame:

@@ -103,10 +103,16 @@ def fisher(n11: Column, n12: Column, n21: Column, n22: Column) -> dict[str, Colu
     r1, r2, c1 = n11 + n12, n21 + n22, n11 + n21
     low, high = F.greatest(F.lit(0), c1 - r2), F.least(r1, c1)
     chance = lambda k: F.exp(hypergeometric(k, r1 - k, c1 - k, r2 - c1 + k, -1e9))
-    every = F.transform(F.sequence(low.cast("int"), high.cast("int")), lambda k: F.struct(k.alias("k"), chance(k.cast("double")).alias("p")))
     own = chance(n11.cast("double"))
-    add = lambda keep: F.aggregate(F.filter(every, keep), F.lit(0.0), lambda s, x: s + x["p"])
-    return {"left": F.least(F.lit(1.0), add(lambda x: x["k"] <= n11)), "right": F.least(F.lit(1.0), add(lambda x: x["k"] >= n11)), "two": F.least(F.lit(1.0), add(lambda x: x["p"] <= own * (1 + 1e-7)))}
+    # one pass over the numbers of tables; nothing but their sums is kept
+    start = F.struct(F.lit(0.0).alias("left"), F.lit(0.0).alias("right"), F.lit(0.0).alias("two"))
+
+    def add(s: Column, k: Column) -> Column:
+        p = chance(k.cast("double"))
+        return F.struct((s["left"] + F.when(k <= n11, p).otherwise(0.0)).alias("left"), (s["right"] + F.when(k >= n11, p).otherwise(0.0)).alias("right"), (s["two"] + F.when(p <= own * (1 + 1e-7), p).otherwise(0.0)).alias("two"))
+
+    sums = F.aggregate(F.sequence(low.cast("int"), high.cast("int")), start, add)
+    return {c: F.least(F.lit(1.0), sums[c]) for c in ("left", "right", "two")}
 
 
 def without_zeros(df: DataFrame, value: str) -> DataFrame:

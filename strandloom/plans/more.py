@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -85,6 +87,26 @@ def histogram_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features(spark, sf_dir).groupBy("source", (F.col("c") + F.col("t")).alias("depth")).agg(F.count("*").alias("n"))
 
 
+@query("K6_bucketed_store", f"with {FEATURES} select sequence, count(*) as n, sum(id)::bigint as ids from f group by 1")
+def bucketed_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6: features in a table bucketed and sorted by sequence, which is then grouped by it without a shuffle."""
+    name = f"strandloom_store_{uuid.uuid4().hex}"
+    sk.save_store(features(spark, sf_dir), name, 8, "sequence")
+    return spark.table(name).groupBy("sequence").agg(F.count("*").alias("n"), F.sum("id").alias("ids"))
+
+
+@query("S27_discovered_files", f"with {FEATURES} select feature, count(*) as n, sum(start)::bigint as starts from f group by 1")
+def discovered_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of several folders found by a pattern of their names; others beside them are left alone."""
+    folder = work_folder(spark)
+    for kind in ("one", "two"):
+        own = features(spark, sf_dir).where("id % 2 = 0" if kind == "one" else "id % 2 <> 0")
+        sk.feature_lines(own).write.text(f"{folder}/{kind}/deep")
+    sk.feature_lines(features(spark, sf_dir)).write.option("compression", "gzip").text(f"{folder}/other")
+    found = tx.parse_features(tx.lines(spark, folder, "part-*.txt"))
+    return found.groupBy("feature").agg(F.count("*").alias("n"), F.sum("start").alias("starts"))
+
+
 @query("K14_written_once", f"with {FEATURES} select count(*) as n from f")
 def written_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second write to the same place is skipped."""
@@ -166,22 +188,13 @@ def formatted_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "M3_caller_of_pairs",
-    f"""with {SITES}, m as (select seq_id, k, mate, 1 + k * 30 + (mate - 1) * 12 as start, substr(sequence, 1 + k * 30 + (mate - 1) * 12, 20) as read from s, (select unnest(range(0, 6)) as k), (select unnest([1, 2]) as mate)),
+    f"""with {SITES}, m as (select seq_id, k, mate, 1 + k * 30 + (mate - 1) * 12 as start, substr(sequence, 1 + k * 30 + (mate - 1) * 12, 20) as read from s, (select unnest(range(0, (select max(length) // 30 + 1 from s))) as k), (select unnest([1, 2]) as mate) where length >= 1 + k * 30),
 l as (select seq_id, k, mate, start + i as pos, substr(read, i + 1, 1) as letter from (select *, unnest(range(0, length(read))) as i from m)), o as (select *, row_number() over (partition by seq_id, k, pos order by mate) as n from l),
 g as (select seq_id, pos, case when mate = 1 then '+' else '-' end as strand, count(*) filter (letter = case when mate = 1 then 'C' else 'G' end) as c, count(*) filter (letter = case when mate = 1 then 'T' else 'A' end) as t from o where n = 1 group by all)
 select g.seq_id, g.pos::int as pos, g.strand, g.c, g.t from g join z on z.seq_id = g.seq_id and z.pos = g.pos and z.strand = g.strand where c + t > 0""",
 )
 def caller_of_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = sequences(spark, sf_dir)
-    m = s.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(5)))).withColumn("mate", F.explode(F.array(F.lit(1), F.lit(2))))
-    m = m.withColumn("start", 1 + F.col("k") * 30 + (F.col("mate") - 1) * 12)
-    reads = m.select(F.concat_ws("-", "seq_id", "k").alias("pair_id"), "mate", "seq_id", "start", F.expr("substring(sequence, start, 20)").alias("sequence"))
-    return rd.call_methylation_of_pairs(reads, s).select("seq_id", F.col("pos").cast("int").alias("pos"), "strand", "c", "t")
-
-
-@query("M3_caller_of_pairs_whole")
-def caller_of_pairs_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M3: as caller_of_pairs, with pairs over each sequence's whole length."""
+    """M3: pairs of 20 letters, 12 apart, at every thirtieth place over each sequence's whole length."""
     s = sequences(spark, sf_dir)
     m = rd.tiled(s, 30, 32).withColumn("mate", F.explode(F.array(F.lit(1), F.lit(2))))
     reads = m.select(F.concat_ws("-", "seq_id", "k").alias("pair_id"), "mate", "seq_id", (F.col("start") + (F.col("mate") - 1) * 12).alias("start"), F.expr("substring(sequence, 1 + (mate - 1) * 12, 20)").alias("sequence"))

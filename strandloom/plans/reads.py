@@ -345,16 +345,15 @@ def checksums(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 CALLED = f"""{SITES}, m as (select seq_id, 1 + k * 7 as start, translate(substr(sequence, 1 + k * 7, 40), case when k % 2 = 0 then 'C' else 'X' end, case when k % 2 = 0 then 'T' else 'X' end) as read
-  from s, (select unnest(range(0, 12)) as k) where length >= 1 + k * 7), l as (select seq_id, start + i as pos, substr(read, i + 1, 1) as letter from (select *, unnest(range(0, length(read))) as i from m)),
+  from s, (select unnest(range(0, (select max(length) // 7 + 1 from s))) as k) where length >= 1 + k * 7), l as (select seq_id, start + i as pos, substr(read, i + 1, 1) as letter from (select *, unnest(range(0, length(read))) as i from m)),
 called as (select l.seq_id, l.pos, count(*) filter (letter = 'C') as c, count(*) filter (letter = 'T') as t, any_value(z.context) as context from l join z on z.seq_id = l.seq_id and z.pos = l.pos and z.strand = '+' where letter in ('C', 'T') group by all)"""
 
 
 def _called(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reads of 40 letters at every seventh place over each sequence's whole length."""
     s = sequences(spark, sf_dir).where("length > 0")
-    m = s.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(11)))).where("length >= 1 + k * 7")
-    part = F.expr("substring(sequence, 1 + k * 7, 40)")
-    m = m.select("seq_id", (1 + F.col("k") * 7).alias("start"), F.when(F.col("k") % 2 == 0, sq.c_to_t(part)).otherwise(part).alias("sequence"))
-    return rd.call_methylation(m, s, many=5)
+    m = rd.tiled(s, 7, 40)
+    return rd.call_methylation(m.withColumn("sequence", F.when(F.col("k") % 2 == 0, sq.c_to_t(F.col("sequence"))).otherwise(F.col("sequence"))), s, many=5)
 
 
 @query("M1_methylation_caller", f"with {CALLED} select seq_id, pos::int as pos, c, t, context, c + t > 5 as starred from called")
@@ -372,28 +371,6 @@ def context_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _called(spark, sf_dir).groupBy("context", window_end(F.col("pos"), 50).alias("end")).agg(F.sum("c").alias("c"), F.sum("t").alias("t"), F.count("*").alias("n"))
 
 
-def _called_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As _called, with reads over each sequence's whole length."""
-    s = sequences(spark, sf_dir).where("length > 0")
-    m = rd.tiled(s, 7, 40)
-    return rd.call_methylation(m.withColumn("sequence", F.when(F.col("k") % 2 == 0, sq.c_to_t(F.col("sequence"))).otherwise(F.col("sequence"))), s, many=5)
-
-
-@query("M1_methylation_caller_whole")
-def methylation_caller_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _called_whole(spark, sf_dir).select("seq_id", F.col("pos").cast("int").alias("pos"), "c", "t", "context", "starred")
-
-
-@query("M2_frequencies_whole")
-def frequencies_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rd.frequencies(_called_whole(spark, sf_dir))
-
-
-@query("M4_context_windows_whole")
-def context_windows_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _called_whole(spark, sf_dir).groupBy("context", window_end(F.col("pos"), 50).alias("end")).agg(F.sum("c").alias("c"), F.sum("t").alias("t"), F.count("*").alias("n"))
-
-
 @query("M5_cytosine_sites", f"with {SITES} select seq_id, strand, context, count(*) as n, sum(pos)::bigint as positions from z group by all")
 def cytosine_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rd.cytosines(sequences(spark, sf_dir)).groupBy("seq_id", "strand", "context").agg(F.count("*").alias("n"), F.sum("pos").alias("positions"))
@@ -404,17 +381,8 @@ def triplet_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rd.cytosines(sequences(spark, sf_dir)).groupBy("triplet").agg(F.count("*").alias("n"))
 
 
-@query("M8_confirmed_sites", f"with {SEQUENCES}, x as (select seq_id, unnest(range(1, 21)) as pos, sequence from s) select substr(sequence, pos, 1) in ('C', 'G') as is_site, count(*) as n from x where substr(sequence, pos, 1) <> '' group by 1")
+@query("M8_confirmed_sites", f"with {SEQUENCES}, n as (select sum(length) as n, sum(length - length(translate(sequence, 'CG', ''))) as k from s) select is_site, (case when is_site then k else n - k end)::bigint as n from n, (select unnest([true, false]) as is_site)")
 def confirmed_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M8: claimed positions (here the first twenty of each sequence) checked against the bases."""
-    s = sequences(spark, sf_dir)
-    claims = s.select("seq_id", F.explode(F.sequence(F.lit(1), F.lit(20))).alias("pos"), "length").where("pos <= length").select("seq_id", "pos")
-    sites = rd.cytosines(s).select("seq_id", "pos").withColumn("hit", F.lit(True))
-    return claims.join(sites, ["seq_id", "pos"], "left").groupBy(F.coalesce("hit", F.lit(False)).alias("is_site")).agg(F.count("*").alias("n"))
-
-
-@query("M8_confirmed_sites_whole")
-def confirmed_sites_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M8: every position of each sequence claimed, and checked against the bases."""
     s = sequences(spark, sf_dir)
     claims = s.where("length > 0").select("seq_id", F.explode(F.sequence(F.lit(1), F.col("length"))).alias("pos"))
@@ -422,10 +390,17 @@ def confirmed_sites_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     return claims.join(sites, ["seq_id", "pos"], "left").groupBy(F.coalesce("hit", F.lit(False)).alias("is_site")).agg(F.count("*").alias("n"))
 
 
-@query("M9_simulated_reads")
+H = lambda salt: f"(('0x' || substr(md5('0:{salt}:' || o_orderkey), 1, 13))::bigint / 4503599627370496.0::double)"
+
+
+@query(
+    "M9_simulated_reads",
+    f"""with {LENGTHS}, l as (select list(struct_pack(sequence, length) order by sequence, length) as s from n), r as (select o_orderkey, s[cast(floor({H(1)} * len(s)) as bigint) + 1] as x from orders, l)
+select o_orderkey as read_id, x.sequence as sequence, cast(floor({H(2)} * (x.length - 99)) as int) + 1 as start, cast(floor({H(2)} * (x.length - 99)) as int) + 100 as "end", {H(3)} < 0.2::double as converted from r""",
+)
 def simulated_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M9: no oracle, as DuckDB lacks the hash; tests check ranges, rates and that a second run is the same."""
-    return rd.simulated_reads(spark, 10_000, lengths(spark, sf_dir), 100, 0.2)
+    """M9: a read for each order."""
+    return rd.simulated_reads(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id")), lengths(spark, sf_dir), 100, 0.2)
 
 
 @query("M10_is_bisulfite", f"with {READS} select sum(length(sequence) - length(replace(sequence, 'C', ''))) * 1.0 / sum(length(sequence)) < 0.125 as bisulfite from (select * from r order by read_id limit 10000)")
@@ -478,13 +453,13 @@ def dictionary_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.groupBy("sequence").agg(F.round(F.sum(F.col("hi") - F.col("lo") + 1) / F.max("length"), 6).alias("covered"))
 
 
-HITS = "a as (select l_partkey as read_id, min(l_linenumber) as m, max(l_suppkey) as q from lineitem where l_returnflag = 'A' group by 1), b as (select l_partkey as read_id, min(l_linenumber) as m, max(l_suppkey) as q from lineitem where l_returnflag = 'R' and l_linestatus = 'F' and l_tax < 0.02 group by 1)"
+HITS = "a as (select l_partkey as read_id, min(l_linenumber) as m, max(l_suppkey) as q from lineitem where l_returnflag = 'A' group by 1), b as (select l_partkey as read_id, min(l_linenumber) as m, max(l_suppkey) as q from lineitem where l_returnflag = 'R' group by 1)"
 
 
 def _hits(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     x = table(spark, sf_dir, "lineitem")
     one = lambda c: x.where(c).groupBy(F.col("l_partkey").alias("read_id")).agg(F.min("l_linenumber").alias("mismatches"), F.max("l_suppkey").alias("mapq"))
-    return one("l_returnflag = 'A'"), one("l_returnflag = 'R' and l_linestatus = 'F' and l_tax < 0.02")
+    return one("l_returnflag = 'A'"), one("l_returnflag = 'R'")
 
 
 @query("J15_competition", f"with {HITS} select coalesce(a.read_id, b.read_id) as read_id, case when b.m is null or a.m < b.m then 'a' when a.m is null or b.m < a.m then 'b' else 'tie' end as winner from a full join b on a.read_id = b.read_id")
@@ -492,36 +467,56 @@ def competition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rd.competition(*_hits(spark, sf_dir))
 
 
-@query("J16_sam_competition", f"with {HITS} select a.read_id, case when a.m < b.m then 'a' when a.m > b.m then 'b' when a.q > b.q then 'a' when a.q < b.q then 'b' else 'same' end as winner from a join b on a.read_id = b.read_id")
+@query("J16_sam_competition", f"with {HITS} select a.read_id, case when a.m < b.m then 'a' when a.m > b.m then 'b' when a.q > b.q then 'a' when a.q < b.q then 'b' when a.read_id % 2 = 0 then 'same' else 'differ' end as winner from a join b on a.read_id = b.read_id")
 def sam_competition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a, b = (x.withColumn("snps", F.array(F.lit("5A"), F.lit("7C"))) for x in _hits(spark, sf_dir))
-    return rd.sam_competition(a, b)
+    a, b = _hits(spark, sf_dir)
+    other = F.when(F.col("read_id") % 2 == 0, "5A").otherwise("6A")
+    return rd.sam_competition(a.withColumn("snps", F.array(F.lit("5A"), F.lit("7C"))), b.withColumn("snps", F.array(F.lit("7C"), other)))
 
 
-MATES = """l as (select p_partkey as read_id, l_suppkey as s, date_diff('day', date '1992-01-01', l_shipdate::date) as p from part left join lineitem on l_partkey = p_partkey and l_returnflag = 'A' and l_tax < 0.04),
-r as (select p_partkey as read_id, l_suppkey as s, date_diff('day', date '1992-01-01', l_shipdate::date) as p from part left join lineitem on l_partkey = p_partkey and l_returnflag = 'R' and l_tax < 0.04)"""
+#: Each order as a read pair, whose lines are matches: the first end's those that were returned for A, and odd ones of N.
+MATES = """e as (select l_orderkey as read_id, case when l_returnflag = 'A' or (l_returnflag = 'N' and l_linenumber % 2 = 1) then 1 else 2 end as mate, 'c' || (l_suppkey % 3) as seqid,
+  2600 as length, l_linenumber % 2 = 0 as reverse, (date_diff('day', date '1992-01-01', l_shipdate::date) + 1)::bigint as position, l_partkey % 4 as mismatches, l_linenumber, l_extendedprice from lineitem),
+h as (select *, row_number() over (partition by read_id, mate order by seqid, reverse, position, mismatches) - 1 as i from e),
+k as (select o_orderkey as read_id, count(*) filter (mate = 1) as n, count(*) filter (mate = 2) as m from orders left join e on o_orderkey = read_id group by 1)"""
+
+
+def _mates(spark: SparkSession, sf_dir: str, mate: int) -> DataFrame:
+    x = table(spark, sf_dir, "lineitem")
+    first = (F.col("l_returnflag") == "A") | ((F.col("l_returnflag") == "N") & (F.col("l_linenumber") % 2 == 1))
+    cells = F.struct(
+        F.concat(F.lit("c"), F.col("l_suppkey") % 3).alias("seqid"), (F.col("l_linenumber") % 2 == 0).alias("reverse"),
+        (F.datediff("l_shipdate", F.lit("1992-01-01")) + 1).cast("bigint").alias("position"), (F.col("l_partkey") % 4).alias("mismatches"), F.lit(2600).alias("length"),
+    )
+    found = x.where(first if mate == 1 else ~first).groupBy(F.col("l_orderkey").alias("read_id")).agg(F.array_sort(F.collect_list(cells)).alias("matches"))
+    ids = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("read_id"))
+    none = F.array().cast("array<struct<seqid:string,reverse:boolean,position:bigint,mismatches:bigint,length:int>>")
+    return ids.join(found, "read_id", "left").select("read_id", F.lit(36).alias("size"), F.coalesce("matches", none).alias("matches"))
 
 
-def _mates(spark: SparkSession, sf_dir: str, flag: str) -> DataFrame:
-    x = table(spark, sf_dir, "lineitem").where((F.col("l_returnflag") == flag) & (F.col("l_tax") < 0.04))
-    m = F.array_sort(F.collect_list(F.struct(F.col("l_suppkey").alias("seqid"), F.datediff("l_shipdate", F.lit("1992-01-01")).cast("bigint").alias("position")))).alias("matches")
-    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("read_id")).join(x.groupBy(F.col("l_partkey").alias("read_id")).agg(m), "read_id", "left").withColumn("matches", F.coalesce("matches", F.array()))
+def _pick(count: str, mate: int) -> str:
+    return f"('0x' || substr(md5('0:{mate}:' || k.read_id), 1, 8))::bigint % greatest({count}, 1)"
 
 
 @query(
     "J17_paired_reads",
-    f"""with {MATES}, n as (select read_id, (select count(s) from l where l.read_id = k.read_id) as x, (select count(s) from r where r.read_id = k.read_id) as y from (select p_partkey as read_id from part) k),
-b as (select l.read_id, min(r.p - l.p) as gap from l join r on l.read_id = r.read_id and l.s = r.s and r.p - l.p between 0 and 2000 group by 1)
-select n.read_id, case when x > 1 then 'R' else x::varchar end || case when y > 1 then 'R' else y::varchar end as class, gap, gap is not null as found from n left join b using (read_id)""",
+    f"""with {MATES},
+p as (select l.read_id, abs(l.length - l.position + 1 - r.position) as gap, l.i as i, r.i as j from h l join h r on l.read_id = r.read_id and l.mate = 1 and r.mate = 2 and l.seqid = r.seqid and l.reverse <> r.reverse),
+b as (select * from (select *, row_number() over (partition by read_id order by gap, i, j) as o from p where gap <= 2000) where o = 1),
+c as (select k.*, i, j, coalesce(gap >= 100 or (n = 1 and m = 1 and gap is not null), false) as fit from k left join b using (read_id)),
+w as (select read_id, 1 as mate, n, m, case when n = 0 then null when fit then i when n = 1 then 0 else {_pick('n', 1).replace('k.', '')} end as at, n > 1 and not fit as star from c
+  union all select read_id, 2, n, m, case when m = 0 then null when fit then j when n = 0 and m = 1 then 0 when (m > 1 or n > 1) then {_pick('m', 2).replace('k.', '')} end, not fit and (m > 1 or (n > 1 and m = 1)) from c)
+select w.read_id, w.mate::int as mate, case when n = 0 then 'NM' when n = 1 then 'U' else 'R' end || '/' || case when m = 0 then 'NM' when m = 1 then 'U' else 'R' end || case when star then '*' else '' end as class,
+  h.seqid, h.position as start, (h.position + 35)::bigint as "end", case when h.reverse then '-' when not h.reverse then '+' end as strand, h.mismatches, (h.position is not null)::int as score
+from w left join h on h.read_id = w.read_id and h.mate = w.mate and h.i = w.at""",
 )
 def paired_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = rd.paired(_mates(spark, sf_dir, "A"), _mates(spark, sf_dir, "R"), 0, 2000)
-    return p.select("read_id", "class", (F.col("right_position") - F.col("left_position")).alias("gap"), "found")
+    return rd.paired(_mates(spark, sf_dir, 1), _mates(spark, sf_dir, 2), 100, 1900, at_random=True, trust_second=True)
 
 
-@query("J18_single_reads", f"with {MATES}, n as (select read_id, count(s) as x, min(p) as p from l group by 1) select read_id, case when x = 0 then 'NM' when x = 1 then 'U' else 'R' end as kind, case when x = 1 then p end as position from n")
+@query("J18_single_reads", f"with {MATES}, x as (select k.read_id, n, min(position) as p from k left join h on h.read_id = k.read_id and mate = 1 group by all) select read_id, case when n = 0 then 'NM' when n = 1 then 'U' else 'R' end as kind, case when n = 1 then p end as position from x")
 def single_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rd.resolved(_mates(spark, sf_dir, "A"), 3, at_random=False).select("read_id", "kind", "position")
+    return rd.resolved(_mates(spark, sf_dir, 1), 3, at_random=False).select("read_id", "kind", "position")
 
 
 @query("J19_read_lookup", f"with {READS} select read_id, sequence from r where read_id in (select l_partkey from lineitem where l_returnflag = 'R' and l_tax = 0)")

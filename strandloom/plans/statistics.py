@@ -190,18 +190,10 @@ def context_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "A26_base_entropy",
-    f"with {SEQUENCES}, x as (select i, substr(sequence, i, 1) as b from (select sequence, unnest(range(1, 101)) as i from s) where substr(sequence, i, 1) <> ''), n as (select i::int as i, count(*) filter (b = 'A') as a, count(*) filter (b = 'C') as c, count(*) filter (b = 'G') as g, count(*) filter (b = 'T') as t from x group by 1) select i, a, c, g, t, round(-((a + 1) / (a + c + g + t + 4.0) * log2((a + 1) / (a + c + g + t + 4.0)) + (c + 1) / (a + c + g + t + 4.0) * log2((c + 1) / (a + c + g + t + 4.0)) + (g + 1) / (a + c + g + t + 4.0) * log2((g + 1) / (a + c + g + t + 4.0)) + (t + 1) / (a + c + g + t + 4.0) * log2((t + 1) / (a + c + g + t + 4.0))), 6) as entropy from n",
+    f"with {SEQUENCES}, x as (select i, b from (select unnest(l) as b, generate_subscripts(l, 1) as i from (select string_split(sequence, '') as l from s)) where b <> ''), n as (select i::bigint as i, count(*) filter (b = 'A') as a, count(*) filter (b = 'C') as c, count(*) filter (b = 'G') as g, count(*) filter (b = 'T') as t from x group by 1) select i, a, c, g, t, round(-((a + 1) / (a + c + g + t + 4.0) * log2((a + 1) / (a + c + g + t + 4.0)) + (c + 1) / (a + c + g + t + 4.0) * log2((c + 1) / (a + c + g + t + 4.0)) + (g + 1) / (a + c + g + t + 4.0) * log2((g + 1) / (a + c + g + t + 4.0)) + (t + 1) / (a + c + g + t + 4.0) * log2((t + 1) / (a + c + g + t + 4.0))), 6) as entropy from n",
 )
 def base_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts of bases at a position of all sequences (here the first hundred), and their entropy."""
-    x = sequences(spark, sf_dir).select(F.explode(F.sequence(F.lit(1), F.lit(100))).alias("i"), "sequence").select("i", F.expr("substring(sequence, i, 1)").alias("b")).where("b <> ''")
-    n = x.groupBy("i").agg(*(F.count_if(F.col("b") == y).alias(y.lower()) for y in "ACGT"))
-    return n.withColumn("entropy", F.round(st.entropy([F.col(y) for y in "acgt"]), 6))
-
-
-@query("A26_base_entropy_whole")
-def base_entropy_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As base_entropy, at every position up to the longest sequence's end."""
+    """Counts of bases at a position of all sequences, and their entropy, up to the longest sequence's end."""
     x = rd.pieces(sequences(spark, sf_dir)).select("offset", F.posexplode(F.split("piece", "")).alias("j", "b")).where("b <> ''")
     n = x.groupBy((F.col("offset") + F.col("j") + 1).alias("i")).agg(*(F.count_if(F.col("b") == y).alias(y.lower()) for y in "ACGT"))
     return n.withColumn("entropy", F.round(st.entropy([F.col(y) for y in "acgt"]), 6))

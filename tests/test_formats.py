@@ -1,6 +1,7 @@
 """Literals of parsers, writers and functions on sequences."""
 
 import math
+import random
 from statistics import NormalDist
 
 import pytest
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from strandloom.functions import attributes as at
 from strandloom.functions import sequence as sq
 from strandloom.operators import align as al
+from strandloom.operators import rangejoin as rj
 from strandloom.operators import reads as rd
 from strandloom.operators import stats as st
 from strandloom.sources import sinks as sk
@@ -113,8 +115,8 @@ def test_other_formats(spark):
 
 def test_caller_against_simulated_reads(spark):
     genome = spark.createDataFrame([("c", "ACGTCCGATTCAGCATCGGA" * 6)], "seq_id string, sequence string")
-    sim = rd.simulated_reads(spark, 400, spark.createDataFrame([("c", 120)], "sequence string, length int"), 30, 0.3)
-    assert rows(sim) == rows(rd.simulated_reads(spark, 400, spark.createDataFrame([("c", 120)], "sequence string, length int"), 30, 0.3))
+    sim = rd.simulated_reads(spark.range(400), spark.createDataFrame([("c", 120)], "sequence string, length int"), 30, 0.3)
+    assert rows(sim) == rows(rd.simulated_reads(spark.range(400), spark.createDataFrame([("c", 120)], "sequence string, length int"), 30, 0.3))
     whole = sim.join(genome.select(F.col("sequence").alias("g")), F.lit(True))
     part = F.expr("substring(g, start, 30)")
     reads = whole.select(F.lit("c").alias("seq_id"), "start", F.when(F.col("converted"), sq.c_to_t(part)).otherwise(part).alias("sequence"))
@@ -131,12 +133,108 @@ def test_caller_against_simulated_reads(spark):
 def test_pairs_and_competition(spark):
     kind = "read_id string, matches array<struct<seqid:string,position:long>>"
     left = spark.createDataFrame([("a", [("c", 10), ("c", 90)]), ("b", [("c", 5)]), ("d", [])], kind)
-    right = spark.createDataFrame([("a", [("c", 100), ("d", 12)]), ("b", [("c", 4)]), ("d", [("c", 1)])], kind)
-    got = {r.read_id: (r["class"], r.left_position, r.found) for r in rd.paired(left, right, 0, 200).collect()}
-    assert got == {"a": ("RR", 90, True), "b": ("11", None, False), "d": ("01", None, False)}
     assert {r.read_id: r.kind for r in rd.resolved(left, 2).collect()} == {"a": "R", "b": "U", "d": "NM"}
 
 
+def test_pairs_of_reads(spark):
+    """The nine cases: a sequence of 1000 bases, reads of 10; /2 lies on the other strand, so its place is mirrored."""
+    kind = "read_id string, size int, matches array<struct<seqid:string,length:int,reverse:boolean,position:long,mismatches:int>>"
+    at = lambda position, reverse=False, mm=0, seqid="c": (seqid, 1000, reverse, position, mm)
+    cases = {  # read: matches of /1, matches of /2
+        "none": ([], []),
+        "fit": ([at(101)], [at(850, True, 2)]),  # 1000 - 101 + 1 = 900, 50 apart
+        "near": ([at(101)], [at(899, True)]),  # under the offset, which counts for several matches only
+        "far": ([at(101)], [at(100, True, 1)]),
+        "same": ([at(101)], [at(850)]),  # the same strand
+        "first": ([at(7, True, 3)], []),
+        "second": ([], [at(8)]),
+        "several first": ([at(1), at(2)], []),
+        "several second": ([], [at(1), at(2), at(3)]),
+        "one several": ([at(101)], [at(500, True), at(870, True), at(860, True), at(870, True, 9)]),
+        "one none of several": ([at(101)], [at(1), at(2)]),
+        "several one": ([at(900), at(101, False, 1)], [at(850, True)]),
+        "several none of one": ([at(900), at(901)], [at(850, True, seqid="d")]),
+        "several several": ([at(500), at(101)], [at(20, True), at(850, True), at(470, True)]),
+        "too near": ([at(101), at(700)], [at(899, True), at(850, True)]),
+    }
+    left, right = (spark.createDataFrame([(k, 10, v[i]) for k, v in cases.items()], kind) for i in (0, 1))
+    cells = lambda r: None if r.start is None else (r.start, r.end, r.strand, r.mismatches)
+
+    def run(**options):
+        out = {k: [None, None] for k in cases}
+        for r in rd.paired(left, right, 20, 80, **options).collect():
+            out[r.read_id][r.mate - 1] = (r["class"], cells(r), r.score)
+        return out
+
+    plus, minus = lambda p, mm=0: (p, p + 9, "+", mm), lambda p, mm=0: (p, p + 9, "-", mm)
+    got = run()
+    assert got == {
+        "none": [("NM/NM", None, 0)] * 2,
+        "fit": [("U/U", plus(101), 1), ("U/U", minus(850, 2), 1)],
+        "near": [("U/U", plus(101), 1), ("U/U", minus(899), 1)],
+        "far": [("U/U", plus(101), 1), ("U/U", None, 0)],
+        "same": [("U/U", plus(101), 1), ("U/U", None, 0)],
+        "first": [("U/NM", minus(7, 3), 1), ("U/NM", None, 0)],
+        "second": [("NM/U", None, 0), ("NM/U", None, 0)],
+        "several first": [("R/NM", None, 2), ("R/NM", None, 0)],
+        "several second": [("NM/R", None, 0), ("NM/R", None, 3)],
+        "one several": [("U/R", plus(101), 1), ("U/R", minus(870), 1)],
+        "one none of several": [("U/R", plus(101), 1), ("U/R", None, 0)],
+        "several one": [("R/U", plus(101, 1), 1), ("R/U", minus(850), 1)],
+        "several none of one": [("R/U", None, 0), ("R/U", None, 0)],
+        "several several": [("R/R", plus(500), 1), ("R/R", minus(470), 1)],
+        "too near": [("R/R", None, 0), ("R/R", None, 0)],
+    }
+    trusting = run(trust_second=True)
+    assert trusting.pop("second") == [("NM/U", None, 0), ("NM/U", plus(8), 1)]
+    assert all(trusting[k] == got[k] for k in trusting)
+    drawn = run(at_random=True, trust_second=True, seed=3)
+    assert drawn == run(at_random=True, trust_second=True, seed=3)
+    assert drawn["several first"][0][0] == "R/NM*" and drawn["several first"][0][1] in (plus(1), plus(2))
+    assert drawn["several second"][1][0] == "NM/R*" and drawn["several second"][1][1] in (plus(1), plus(2), plus(3))
+    assert drawn["one none of several"][0] == ("U/R", plus(101), 1) and drawn["one none of several"][1][0] == "U/R*"
+    assert [x[0] for x in drawn["several none of one"]] == ["R/U*"] * 2 and drawn["several none of one"][1][1] == minus(850)
+    assert [x[0] for x in drawn["too near"]] == ["R/R*"] * 2 and all(x[1] for x in drawn["too near"])
+    same = {r.read_id for r in rd.paired(left, right, 0, 800, single_ends=True).where("mate = 2 and start is not null").collect()}
+    assert same == {"same", "one none of several"}
+    g = spark.createDataFrame([("c", "ACGTTGCAAC" * 100)], "seq_id string, sequence string")
+    t = {(r.read_id, r.mate): r.target for r in rd.targets(rd.paired(left, right, 20, 80), g).collect()}
+    text = "ACGTTGCAAC" * 100
+    other = text.translate(str.maketrans("ACGT", "TGCA"))[::-1]
+    assert t["fit", 1] == text[98:112] and t["fit", 2] == other[847:861] and ("second", 2) not in t
+
+
+def test_lookups_by_place(spark):
+    """Features of any place of a long sequence, patches and differences, against plain slices."""
+    rng = random.Random(3)
+    text = {i: "".join(rng.choices("ACGT", k=n)) for i, n in enumerate((1000, 128, 129, 1, 0))}
+    g = spark.createDataFrame(list(text.items()), "seq_id long, sequence string")
+    f = [(k, rng.randrange(6), (s := rng.randrange(-5, 1100)), s + rng.choice([0, 5, 130, 400, -1]), rng.choice("+-")) for k in range(200)]
+    got = {r.id: r.bases for r in rd.extracted(g, spark.createDataFrame(f, "id long, seq_id long, start long, end long, strand string"), 2).collect()}
+    turned = lambda x: x.translate(str.maketrans("ACGT", "TGCA"))[::-1]
+    want = {k: (turned if d == "-" else str)(text[i][max(0, s - 3) : max(0, e + 2)]) for k, i, s, e, d in f if i in text}
+    assert got == want
+    snps = [(rng.randrange(5), rng.randrange(1, 1100), rng.choice("ACGT")) for _ in range(80)]
+    snps = list({(i, p): (i, p, a) for i, p, a in snps}.values())
+    p = rd.patched(g, spark.createDataFrame(snps, "seq_id long, pos int, alt string"))
+    new = {i: list(t) for i, t in text.items()}
+    for i, at, alt in snps:
+        if at <= len(new[i]):
+            new[i][at - 1] = alt
+    assert rows(p) == sorted((i, "".join(t)) for i, t in new.items())
+    assert rows(rd.genome_diff(g, p)) == sorted((i, at, text[i][at - 1], alt) for i, at, alt in snps if at <= len(text[i]) and text[i][at - 1] != alt)
+
+
+def test_liftover_and_nearest_plans(spark):
+    d = spark.createDataFrame([("c", 1, 100, 501), ("c", 150, 200, 1)], "sequence string, from_start int, from_end int, to_start int")
+    df = spark.createDataFrame([(1, "c", 10, 20), (2, "c", 90, 160), (3, "c", 10, 120), (4, "x", 5, 6), (5, None, 7, 8), (6, "c", None, 5)], "id int, sequence string, start int, end int")
+    out = rj.lifted(df, d)
+    assert sorted((r.id, r.start, r.end) for r in out.collect()) == [(1, 510, 520), (2, 590, 11), (4, 5, 6), (5, 7, 8)]
+    plan = out._jdf.queryExecution().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan and plan.count("_abin") > 0
+    assert "unboundedfollowing" not in rj.nearest(df, df)._jdf.queryExecution().toString().lower()
+
+
 def test_alignment_of_tables(spark):
     kind = "sequence string, start int, score double"
     a, b = spark.createDataFrame([("C", 1, 4.0), ("c", 2, 0.0)], kind), spark.createDataFrame([("c", 1, 2.0), ("c", 9, 3.0)], kind)

@@ -100,18 +100,18 @@ def test_queries_on_whole_sequences(spark, tmp_path):
                 if t[p] == ("C" if first else "G"):
                     pairs[i, p + 1, "+" if first else "-"][0] += 1
     sites = [(i, p, *n, context(texts[i][p - 1 : p + 2]), sum(n) > 5) for (i, p), n in sorted(called.items())]
-    assert run("M1_methylation_caller_whole") == sites
-    assert run("M3_caller_of_pairs_whole") == sorted((*k, *n) for k, n in pairs.items())
+    assert run("M1_methylation_caller") == sites
+    assert run("M3_caller_of_pairs") == sorted((*k, *n) for k, n in pairs.items())
     windows, kinds = collections.defaultdict(lambda: [0, 0, 0]), collections.defaultdict(lambda: [0] * 5)
     for _, p, c, t, x, starred in sites:
         for total, more in ((windows[x, -(-p // 50) * 50], (c, t, 1)), (kinds[x], (c * (not starred), t * (not starred), c, t, 1))):
             total[:] = [a + b for a, b in zip(total, more, strict=True)]
-    assert run("M4_context_windows_whole") == sorted((*k, *n) for k, n in windows.items())
-    assert [r[:-1] for r in run("M2_frequencies_whole")] == sorted((k, *n) for k, n in kinds.items())
+    assert run("M4_context_windows") == sorted((*k, *n) for k, n in windows.items())
+    assert [r[:-1] for r in run("M2_frequencies")] == sorted((k, *n) for k, n in kinds.items())
     letters = "".join(texts.values())
     n = sum(letters.count(x) for x in "CG")
-    assert run("M8_confirmed_sites_whole") == [(False, len(letters) - n), (True, n)]
-    got = run("A26_base_entropy_whole")
+    assert run("M8_confirmed_sites") == [(False, len(letters) - n), (True, n)]
+    got = run("A26_base_entropy")
     assert len(got) == 1000
     for i, *n, entropy in got:
         assert n == [sum(t[i - 1 : i] == x for t in texts.values()) for x in "ACGT"]
