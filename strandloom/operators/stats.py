@@ -99,20 +99,31 @@ def hypergeometric(n11: Column, n12: Column, n21: Column, n22: Column, least: fl
 
 
 def fisher(n11: Column, n12: Column, n21: Column, n22: Column) -> dict[str, Column]:
-    """G1: left, right and two-tailed exact test, summing the chances of all tables with these margins."""
+    """G1: left, right and two-tailed exact test, summing the chances of all tables with these margins.
+
+    From the given table on, each chance is its neighbour's times a ratio of cells; nothing but the sums is kept.
+    """
     r1, r2, c1 = n11 + n12, n21 + n22, n11 + n21
     low, high = F.greatest(F.lit(0), c1 - r2), F.least(r1, c1)
-    chance = lambda k: F.exp(hypergeometric(k, r1 - k, c1 - k, r2 - c1 + k, -1e9))
-    own = chance(n11.cast("double"))
-    # one pass over the numbers of tables; nothing but their sums is kept
-    start = F.struct(F.lit(0.0).alias("left"), F.lit(0.0).alias("right"), F.lit(0.0).alias("two"))
+    own = hypergeometric(n11, n12, n21, n22, -1e9)
+
+    def walk(count: Column, sign: int) -> Column:
+        """Sums over the ``count`` tables on one side: of all chances, and of those that are no greater than the given one."""
+
+        def add(s: Column, i: Column) -> Column:
+            a, b, c, d = n11 + sign * (i - 1), n12 - sign * (i - 1), n21 - sign * (i - 1), n22 + sign * (i - 1)
+            ratio = b * c / ((a + 1) * (d + 1)) if sign > 0 else a * d / ((b + 1) * (c + 1))
+            ln = s["ln"] + F.ln(ratio)
+            p = F.exp(ln)
+            return F.struct(ln.alias("ln"), (s["all"] + p).alias("all"), (s["rare"] + F.when(ln <= own + 1e-7, p).otherwise(0.0)).alias("rare"))
 
-    def add(s: Column, k: Column) -> Column:
-        p = chance(k.cast("double"))
-        return F.struct((s["left"] + F.when(k <= n11, p).otherwise(0.0)).alias("left"), (s["right"] + F.when(k >= n11, p).otherwise(0.0)).alias("right"), (s["two"] + F.when(p <= own * (1 + 1e-7), p).otherwise(0.0)).alias("two"))
+        start = F.struct(own.alias("ln"), F.lit(0.0).alias("all"), F.lit(0.0).alias("rare"))
+        steps = F.when(count > 0, F.sequence(F.lit(1), count.cast("int"))).otherwise(F.array().cast("array<int>"))
+        return F.aggregate(steps, start, add)
 
-    sums = F.aggregate(F.sequence(low.cast("int"), high.cast("int")), start, add)
-    return {c: F.least(F.lit(1.0), sums[c]) for c in ("left", "right", "two")}
+    down, up, given = walk(n11 - low, -1), walk(high - n11, 1), F.exp(own)
+    sums = {"left": given + down["all"], "right": given + up["all"], "two": given + down["rare"] + up["rare"]}
+    return {c: F.least(F.lit(1.0), x) for c, x in sums.items()}
 
 
 def without_zeros(df: DataFrame, value: str) -> DataFrame:
