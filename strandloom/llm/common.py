@@ -38,7 +38,7 @@ def written(df: DataFrame, *partition_by: str) -> DataFrame:
     Shuffle files of what has been written are not read again; Spark deletes them once the driver has collected its garbage.
     """
     spark, path = df.sparkSession, work_folder(df.sparkSession)
-    df.write.partitionBy(*partition_by).parquet(path)
+    df.write.partitionBy(*partition_by).option("compression", "zstd").parquet(path)
     spark._jvm.System.gc()
     out = spark.read.schema(df.schema).parquet(path)
     out._work_path = path

@@ -346,7 +346,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     Null and empty texts and texts without words have no shingles and are linked with nothing; under five words, the
     sequence is one shingle. component_id is the smallest doc_id reachable by links, kept is doc_id = component_id. Rows
     that share a doc_id are one node: what links one of them links all. Rows with a null doc_id have a null component_id
-    and are kept. An empty table gives an empty table. Other columns are ignored.
+    and are kept. An empty table gives an empty table. Other columns are ignored. A text of any length is one set.
     """
     own = docs.select("doc_id", "text")
     sig = written(signatures(own))

@@ -56,11 +56,12 @@ def rates(docs: DataFrame, source: str = "source", weights: dict[str, float] | N
 def replicated(docs: DataFrame, source: str = "source", weights: dict[str, float] | None = None, power: float = 0.5, epochs: float = 1.0, seed: int = 20, max_sources_sent: int = 10_000) -> DataFrame:
     """_in (the row of docs), _copies, _copy (from 1) and _order, a row for each copy; not shuffled yet.
 
-    Documents with 0 copies are left out: that is what a rate below 1 means. A null doc_id counts as the id "null", a
-    null source is a source of its own, null texts have no bytes. Rows that share an id get equally many copies each.
+    Documents with 0 copies are left out: that is what a rate below 1 means. A null doc_id is replaced by a digest of the text, a null
+    source is a source of its own, null texts have no bytes. Rows that share an id get equally many copies each.
     """
     found = bounded(written(rates(docs, source, weights, power, epochs)), max_sources_sent)
-    df = packed(docs, F.col(source).alias("_of"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("_name"))
+    unnamed = F.concat(F.lit("null:"), F.md5(F.encode(F.coalesce("text", F.lit("")), "UTF-8")))
+    df = packed(docs, F.col(source).alias("_of"), F.coalesce(F.col("doc_id").cast("string"), unnamed).alias("_name"))
     df = df.join(found, df["_of"].eqNullSafe(found["_source"]), "left")
     u = lambda head: _number(F.concat(head, F.col("_name")), 13) / F.lit(float(1 << 52))
     count = lambda x: F.size(F.filter("cdf", lambda c: x >= c)).cast("long")
@@ -98,8 +99,8 @@ steps as (select source, rate, unnest(range(0, cast(ceil(rate + 12 * sqrt(rate))
 chance as (select source, k, exp(-rate) * coalesce(product(rate / nullif(k2, 0)), 1) as p
   from (select s.*, unnest(range(0, s.k + 1)) as k2 from steps s) group by source, rate, k),
 cdf as (select source, k, sum(p) over (partition by source order by k) as c from chance),
-u as (select doc_id, source, row_number() over () as r, coalesce(doc_id::varchar, 'null') as name,
-  ('0x' || substr(md5('20:count:' || coalesce(doc_id::varchar, 'null')), 1, 13))::bigint / 4503599627370496.0::double as u from documents),
+u as (select doc_id, source, row_number() over () as r, coalesce(doc_id::varchar, 'null:' || md5(coalesce(text, ''))) as name,
+  ('0x' || substr(md5('20:count:' || coalesce(doc_id::varchar, 'null:' || md5(coalesce(text, '')))), 1, 13))::bigint / 4503599627370496.0::double as u from documents),
 n as (select r, any_value(u.doc_id) as doc_id, any_value(u.source) as source, any_value(name) as name, count(*) as n_copies
   from u join cdf on u.source is not distinct from cdf.source and u.u >= cdf.c group by r)
 select doc_id, source, n_copies, copy, ('0x' || substr(md5('20:order:' || name || ':' || copy::varchar), 1, 15))::bigint as shuffle_key

@@ -142,6 +142,7 @@ def token_counts(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", limit:
     """doc_id, n_bytes, n_tokens, over_limit (n_tokens > limit) of every whole text.
 
     Null texts are empty: 0 bytes, 0 tokens. Repeated rows and null doc_ids give a row each; other columns are ignored.
+    A text of any length is counted whole; an empty table gives an empty table.
     A special string of the vocabulary inside a text counts as one token, which is the library's default.
     """
 

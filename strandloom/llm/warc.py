@@ -153,7 +153,8 @@ def with_revisits(pages: DataFrame, least: int = 100) -> DataFrame:
     later = digests.join(again, "sha").where("page_id > refers_to").select("page_id", F.col("sha").alias("_sha"), "refers_to").distinct()
     # a page_id that occurs with several payloads: a revisit only for the payload that is repeated
     own = pages.select("page_id", "url", "html", F.sha2(F.encode(F.coalesce("html", F.lit("")), "UTF-8"), 256).alias("_sha"))
-    return own.join(later, ["page_id", "_sha"], "left").drop("_sha")
+    unnamed = own.where("page_id is null").withColumn("refers_to", F.lit(None).cast("long"))  # never a revisit, so not part of the join
+    return own.where("page_id is not null").join(later, ["page_id", "_sha"], "left").unionByName(unnamed).drop("_sha")
 
 
 def write_archives(records: DataFrame, folder: str, dictionary: bytes, max_bytes: int = 8 << 20) -> DataFrame:
@@ -240,7 +241,8 @@ def round_trip(spark: SparkSession, pages: DataFrame, least: int = 100) -> DataF
 
     Null html is an empty payload, null urls are left out of the header, a null page_id never takes part in
     deduplication (its record is a response). Empty payloads and those under ``least`` bytes are all responses. Rows that
-    repeat a page_id with the same payload are all written; the smallest page_id's are responses. An empty table gives an
+    repeat a page_id with the same payload are all written, and all of the smallest page_id are responses, as none of them
+    has another to refer to. A payload of any length is one record. An empty table gives an
     empty result. Other columns of pages are ignored.
     """
     folder = f"{work_folder(spark)}/archives"

@@ -203,10 +203,39 @@ def test_mixing_reaches_weights_and_is_repeatable(spark):
     assert {r["count"]: r.n for r in share if r["count"] < 5} == pytest.approx(poisson, rel=0.25)
 
 
+def copies_of(name, rate):
+    """Poisson inversion in plain Python, for rates up to one part."""
+    u = int(hashlib.md5(f"20:count:{name}".encode()).hexdigest()[:13], 16) / (1 << 52)
+    n, p = 0, math.exp(-rate)
+    total = p
+    while u >= total:
+        n += 1
+        p *= rate / n
+        total += p
+    return n
+
+
+def brute_mixed(rows_):
+    """(doc_id, text, source) -> how often each row occurs in the mixture."""
+    size = collections.Counter()
+    for _, t, s in rows_:
+        size[s] += len((t or "").encode())
+    weight = {s: x**0.5 for s, x in size.items()}
+    rate = {s: weight[s] / sum(weight.values()) * sum(size.values()) / size[s] if size[s] else 1.0 for s in size}
+    return [(i, t, s, copies_of(i if i is not None else "null:" + hashlib.md5((t or "").encode()).hexdigest(), rate[s])) for i, t, s in rows_]
+
+
 def test_mixing_of_odd_rows(spark, odd):
-    out = mixing.mixed(odd)
+    """Null sources, ids and texts, repeated rows: as many copies as by brute force, each row with docs' columns."""
+    more = spark.createDataFrame([(None, f"no id but text {i}", "en", "s", 3) for i in range(20)], DOCS)
+    df = odd.unionByName(more.withColumns({c: F.lit("clash") for c in odd.columns[5:]}))
+    out = mixing.mixed(df)
     assert out.columns == odd.columns
-    out.count()
+    got = collections.Counter((r.doc_id, r.text, r.source) for r in out.collect())
+    want = collections.Counter()
+    for i, t, s, n in brute_mixed([(r.doc_id, r.text, r.source) for r in df.collect()]):
+        want[i, t, s] += n
+    assert got == +want and len({n for (i, _, _), n in got.items() if i is None}) > 1
     assert mixing.mixed(odd.limit(0)).count() == 0
     with pytest.raises(Exception, match="too high"):
         mixing.replicated(docs(spark, ["a" * 10]), epochs=1000.0).count()
@@ -390,10 +419,11 @@ def test_scores_of_very_long_texts(spark):
     """A text beyond a block of texts, and a word beyond all bounds: counts are those of the whole text."""
     rng = random.Random(7)
     long = " ".join(rng.choices(["ab", "cd", "efg", "hi"], k=1_000_000))
-    df = spark.createDataFrame([(1, long), (2, "x" * 100_000 + " y"), (3, "x" * 100_000 + "z")], "doc_id long, text string")
+    i, j, k = [i for i in range(1, 99) if zlib.crc32(str(i).encode()) % 7 != 2][:3]
+    df = spark.createDataFrame([(i, long), (j, "x" * 100_000 + " y"), (k, "x" * 100_000 + "z")], "doc_id long, text string")
     got = {r.doc_id: r for r in lm_scoring.scored(df).collect()}
-    assert got[1].n_tokens == 1_000_001 and got[2].n_tokens == 3 and all(np.isfinite(r.score) for r in got.values())
-    assert got[1].n_known == got[1].n_tokens
+    assert got[i].n_tokens == 1_000_001 and got[j].n_tokens == 3 and all(np.isfinite(r.score) for r in got.values())
+    assert got[i].n_known == got[i].n_tokens
 
 
 def test_log_gamma():
@@ -493,6 +523,13 @@ def archive(records, known=b""):
     return lead + b"".join(writer.compress(r) for r in records)
 
 
+def test_warc_of_repeated_rows_and_long_payloads(spark):
+    long = "".join(random.Random(1).choices("abcdefgh ", k=9_000_000))
+    pages = [(1, "u", "p" * 150)] * 3 + [(2, "u", "p" * 150)] * 2 + [(None, "u", "p" * 150)] * 2 + [(3, "v", long), (4, "v", long)]
+    got = collections.Counter((r.page_id, r.payload_bytes, r.record_type, r.refers_to) for r in warc.round_trip(spark, spark.createDataFrame(pages, "page_id long, url string, html string")).collect())
+    assert got == {(1, 150, "response", None): 3, (2, 150, "revisit", 1): 2, (None, 150, "response", None): 2, (3, 9_000_000, "response", None): 1, (4, 9_000_000, "revisit", 3): 1}
+
+
 def test_archives_of_lost_tasks_are_not_read(spark, monkeypatch):
     """An archive that no task which succeeded has named stays in the folder, as after a lost executor."""
     write = warc.write_archives
@@ -699,6 +736,40 @@ def test_top_k_bucket_in_any_order():
     assert best.found == [[(-4500, 0)]]
 
 
+def test_very_long_texts(spark):
+    """Texts beyond every slice that operators work in, with a repeated passage and a near copy at their ends."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choices("abcdefghij", k=rng.randrange(20, 60)))
+    passage = " ".join(word() for _ in range(70))
+    a = " ".join([*(word() for _ in range(120_000)), passage])
+    df = docs(spark, [f"{passage} short", a, a.replace(" ", "\n", 50) + " near", "tail " + passage, a[:1000]])
+    assert rows(substring_dedup.without_repeats(df)) == brute_removed(texts_of(df))
+    assert rows(minhash_dedup.near_duplicates(df, 85)) == brute_components(texts_of(df), 85)
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    got = {r.doc_id: r.n_tokens for r in token_counts.token_counts(df).collect()}
+    assert got[2] == len(tokenizer.encode(a, add_special_tokens=False).ids)
+    sha = {r.doc_id: r.decoded_sha256 for r in byte_bpe.encode_decode(df).collect()}
+    assert sha[2] == hashlib.sha256(a.encode()).hexdigest()
+
+
+def test_recall_of_bands_near_the_threshold():
+    """Of pairs of sets at a similarity just over 0.85 and 0.8, those that share no band or lose by their sketches."""
+    rng = np.random.default_rng(7)
+    for similarity in (0.85, 0.8):
+        n, lost = 200, 0
+        common = round(2 * n * similarity / (1 + similarity))
+        for _ in range(10):
+            sets = []
+            for _ in range(100):
+                x = rng.integers(0, 1 << 63, 2 * n - common, dtype=np.uint64)
+                sets += [np.sort(x[:n]), np.sort(x[n - common :])]
+            minima = minhash_dedup.samples(sets)
+            keys, sketch = minhash_dedup.band_keys(minima), minhash_dedup.odd_sketches(minima)
+            bits = np.bitwise_count(sketch[::2] ^ sketch[1::2]).sum(1)
+            lost += int((~(keys[::2] == keys[1::2]).any(1) | (bits > minhash_dedup.most_differing_bits(similarity))).sum())
+        assert lost <= 2, (similarity, lost)
+
+
 # pipeline ------------------------------------------------------------------------------------------------------------
 
 
@@ -722,6 +793,30 @@ def test_pipeline_stages(spark, small):
     assert rows(whole) == rows(out) and [n for n, _ in corpus_pipeline.STAGES] == ["quality rules", "line dedup", "near duplicates", "mixing", "byte-level BPE"]
 
 
+def test_pipeline_equals_a_plain_version(spark, small):
+    """All stages in plain Python (the verdict of the quality rules in SQL), from the same documents to the same digests."""
+    c = duckdb.connect()
+    c.execute(f"create view documents as select * from read_parquet('{DIR}/documents.parquet')")
+    verdict = c.execute(quality_rules.oracle()).fetchall()
+    names = [d[0] for d in c.execute(quality_rules.oracle()).description]
+    good = {r[names.index("doc_id")] for r in verdict if r[names.index("kept")]}
+    d = [(r.doc_id, r.text or "", r.source) for r in small.collect() if r.doc_id in good]
+    pages, held = collections.Counter(s for _, _, s in d), collections.Counter()
+    strip = lambda x: x.strip(" \t\n\x0b\x0c\r")
+    for _, t, s in d:
+        held.update({(s, k) for k in map(strip, t.split("\n")) if k})
+    gone = {x for x, n in held.items() if n > 1 and n > 0.1 * pages[x[0]]}
+    d = [(i, "\n".join(x for x in t.split("\n") if (s, strip(x)) not in gone), s) for i, t, s in d]
+    kept = {i for i, _, _, stays in brute_components([(i, t) for i, t, _ in d], 80) if stays}
+    with open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb") as f:
+        library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks={base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}, special_tokens={})
+    want = []
+    for i, t, _, n in brute_mixed([x for x in d if x[0] in kept]):
+        ids = library.encode_ordinary(t)
+        want += [(i, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(t.encode()).hexdigest())] * n
+    assert rows(corpus_pipeline.run(spark, DIR)) == sorted(want) and len(want) > 50
+
+
 def test_pipeline_of_odd_rows(spark, odd):
     d = odd
     for name, stage in corpus_pipeline.STAGES:
