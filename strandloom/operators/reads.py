@@ -45,7 +45,8 @@ def _words(k: int) -> Column:
 
 
 def _pieces_of_words(seqs: DataFrame, k: int) -> DataFrame:
-    return pieces(seqs, 0, k - 1).where(F.length("piece") >= k)
+    # small pieces, as a word is found by walking from its piece's start
+    return pieces(seqs, 0, k - 1, size=32).where(F.length("piece") >= k)
 
 
 def kmers(seqs: DataFrame, k: int) -> DataFrame:
@@ -71,11 +72,19 @@ def adapters(reads: DataFrame, k: int, top: int) -> DataFrame:
 
 def cytosines(seqs: DataFrame) -> DataFrame:
     """M5, M6: seq_id, pos, strand, context of every C of both strands."""
-    rows = pieces(seqs, 2, 2).select("seq_id", "offset", "lead", "piece", F.expr("explode(filter(sequence(1, body), i -> substring(piece, i + lead, 1) in ('C', 'G')))").alias("i"))
-    at = F.col("i") + F.col("lead")
-    base = F.substring("piece", at, F.lit(1))
-    tri = F.when(base == "C", F.substring("piece", at, F.lit(3))).otherwise(sq.reverse_complement(F.substring("piece", F.greatest(at - 2, F.lit(1)), F.least(at, F.lit(3)))))
-    return rows.select("seq_id", (F.col("offset") + F.col("i")).cast("int").alias("pos"), F.when(base == "C", "+").otherwise("-").alias("strand"), sq.context(tri).alias("context"), tri.alias("triplet"))
+    # places are picked from arrays of a piece's letters, and only C and G become rows
+    rows = pieces(seqs, 2, 2).select("seq_id", "offset", "lead", "body", F.split("piece", "").alias("_l"))
+    at = F.filter(F.expr("sequence(lead + 1, lead + body)"), lambda i: F.get("_l", i - 1).isin("C", "G"))
+
+    def site(i: Column) -> Column:
+        base, forward = F.get("_l", i - 1), F.slice("_l", i, F.lit(3))
+        back = F.slice("_l", F.greatest(i - 2, F.lit(1)), F.least(i, F.lit(3)))
+        return F.struct(i.alias("i"), base.alias("base"), F.array_join(F.when(base == "C", forward).otherwise(back), "").alias("tri"))
+
+    rows = rows.select("seq_id", "offset", "lead", F.explode(F.transform(at, site)).alias("x"))
+    base, tri = F.col("x.base"), F.when(F.col("x.base") == "C", F.col("x.tri")).otherwise(sq.reverse_complement(F.col("x.tri")))
+    pos = (F.col("offset") + F.col("x.i") - F.col("lead")).cast("int")
+    return rows.select("seq_id", pos.alias("pos"), F.when(base == "C", "+").otherwise("-").alias("strand"), sq.context(tri).alias("context"), tri.alias("triplet"))
 
 
 def call_methylation(reads: DataFrame, bases: DataFrame, conversion: str = "c2t", many: int = 20) -> DataFrame:
@@ -85,8 +94,9 @@ def call_methylation(reads: DataFrame, bases: DataFrame, conversion: str = "c2t"
     (partial sums first) and meet the genome's sites once; sites without a count are left out. starred: c + t > many.
     """
     kept, converted = {"c2t": ("C", "T"), "g2a": ("G", "A")}[conversion]
-    letters = reads.select("seq_id", F.posexplode(F.split("sequence", "")).alias("i", "letter"), "start").where(F.col("letter").isin(kept, converted))
-    counts = letters.groupBy("seq_id", (F.col("start") + F.col("i")).alias("pos")).agg(F.count_if(F.col("letter") == kept).alias("c"), F.count_if(F.col("letter") == converted).alias("t"))
+    each = F.transform(F.split("sequence", ""), lambda x, i: F.struct(i.alias("i"), x.alias("letter")))
+    letters = reads.select("seq_id", "start", F.explode(F.filter(each, lambda x: x["letter"].isin(kept, converted))).alias("x")).select("seq_id", (F.col("start") + F.col("x.i")).alias("pos"), "x.letter")
+    counts = letters.groupBy("seq_id", "pos").agg(F.count_if(F.col("letter") == kept).alias("c"), F.count_if(F.col("letter") == converted).alias("t"))
     sites = cytosines(bases).where(F.col("strand") == ("+" if conversion == "c2t" else "-"))
     return counts.join(sites, ["seq_id", "pos"]).where("c + t > 0").withColumn("starred", F.col("c") + F.col("t") > many)
 

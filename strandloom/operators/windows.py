@@ -107,14 +107,18 @@ def end_profile(points: DataFrame, annotation: DataFrame, width: int, distance:
     anchor a neighbour covers are left out. A row's score is weighed by the share of it in the bin.
     """
     near = neighborhood(annotation, distance, stop, three_prime).where("not overlapped")
-    k = F.explode(F.sequence(F.lit(-(distance // width)), F.lit(distance // width - 1))).alias("bin")
-    bins = near.select("id", "sequence", "anchor", "flipped", "low", "high", k)
-    start = F.when(F.col("flipped"), F.col("anchor") - (F.col("bin") + 1) * width + 1).otherwise(F.col("anchor") + F.col("bin") * width)
-    bins = bins.withColumn("start", start).withColumn("end", F.col("start") + width - 1)
-    bins = bins.withColumn("start", F.greatest("start", "low")).withColumn("end", F.least("end", "high")).where("start <= end")
-    pairs = overlap_join(points, bins.select("id", "sequence", "bin", "start", "end"))
-    share = F.col("overlap") / (F.col("end") - F.col("start") + 1)
-    return pairs.groupBy(F.col("r_id").alias("id"), F.col("r_bin").alias("bin")).agg(F.avg(F.col("score") * share).alias("score"), F.count("*").alias("n"))
+    # a row meets a neighbourhood once; which bins it touches there is arithmetic
+    most, least = distance // width - 1, -(distance // width)
+    loci = near.select("id", "sequence", "anchor", "flipped", F.greatest("low", F.col("anchor") - distance).alias("start"), F.least("high", F.col("anchor") + distance).alias("end"))
+    pairs = overlap_join(points.select("sequence", "start", "end", "score"), loci)
+    low, high = F.greatest("start", "r_start"), F.least("end", "r_end")
+    bin_of = lambda p: F.floor(F.when(F.col("r_flipped"), F.col("r_anchor") - p).otherwise(p - F.col("r_anchor")) / width)
+    first, last = F.greatest(F.lit(least), F.least(bin_of(low), bin_of(high))), F.least(F.lit(most), F.greatest(bin_of(low), bin_of(high)))
+    pairs = pairs.withColumn("bin", F.explode(F.when(first <= last, F.sequence(first, last)))).withColumn("bin", F.col("bin").cast("int"))
+    begin = F.when(F.col("r_flipped"), F.col("r_anchor") - (F.col("bin") + 1) * width + 1).otherwise(F.col("r_anchor") + F.col("bin") * width)
+    own = F.least(high, begin + width - 1) - F.greatest(low, begin) + 1
+    share = own / (F.col("end") - F.col("start") + 1)
+    return pairs.groupBy(F.col("r_id").alias("id"), "bin").agg(F.avg(F.col("score") * share).alias("score"), F.count("*").alias("n"))
 
 
 def profile_summary(profile: DataFrame) -> DataFrame:
