@@ -100,17 +100,18 @@ def neighborhood(annotation: DataFrame, distance: int, stop: int = 0, three_prim
     return a.withColumn("low", low).withColumn("high", high).drop("_previous", "_next")
 
 
-def end_profile(points: DataFrame, annotation: DataFrame, width: int, distance: int, stop: int = 0, three_prime: bool = False) -> DataFrame:
+def end_profile(points: DataFrame, annotation: DataFrame, width: int, distance: int, stop: int = 0, three_prime: bool = False, by: tuple[str, ...] = ()) -> DataFrame:
     """Id, bin, score, n: mean score of points by bin of each locus' neighbourhood.
 
     Bins number from -distance/width (furthest upstream) to distance/width - 1, in the locus' own direction; loci whose
-    anchor a neighbour covers are left out. A row's score is weighed by the share of it in the bin.
+    anchor a neighbour covers are left out. A row's score is weighed by the share of it in the bin. by: columns of points that
+    tell contexts apart, of which each has profiles of its own.
     """
     near = neighborhood(annotation, distance, stop, three_prime).where("not overlapped")
     # a row meets a neighbourhood once; which bins it touches there is arithmetic
     most, least = distance // width - 1, -(distance // width)
     loci = near.select("id", "sequence", "anchor", "flipped", F.greatest("low", F.col("anchor") - distance).alias("start"), F.least("high", F.col("anchor") + distance).alias("end"))
-    pairs = overlap_join(points.select("sequence", "start", "end", "score"), loci)
+    pairs = overlap_join(points.select("sequence", "start", "end", "score", *by), loci)
     low, high = F.greatest("start", "r_start"), F.least("end", "r_end")
     bin_of = lambda p: F.floor(F.when(F.col("r_flipped"), F.col("r_anchor") - p).otherwise(p - F.col("r_anchor")) / width)
     first, last = F.greatest(F.lit(least), F.least(bin_of(low), bin_of(high))), F.least(F.lit(most), F.greatest(bin_of(low), bin_of(high)))
@@ -118,7 +119,18 @@ def end_profile(points: DataFrame, annotation: DataFrame, width: int, distance:
     begin = F.when(F.col("r_flipped"), F.col("r_anchor") - (F.col("bin") + 1) * width + 1).otherwise(F.col("r_anchor") + F.col("bin") * width)
     own = F.least(high, begin + width - 1) - F.greatest(low, begin) + 1
     share = own / (F.col("end") - F.col("start") + 1)
-    return pairs.groupBy(F.col("r_id").alias("id"), "bin").agg(F.avg(F.col("score") * share).alias("score"), F.count("*").alias("n"))
+    return pairs.groupBy(F.col("r_id").alias("id"), "bin", *by).agg(F.avg(F.col("score") * share).alias("score"), F.count("*").alias("n"))
+
+
+def batch_profiles(points: DataFrame, annotation: DataFrame, configurations: dict[str, dict], by: str) -> DataFrame:
+    """Configuration, context, bin, loci, score: the profiles of each named configuration (options of end_profile) and
+    of each context, a column of points, averaged over loci."""
+    out = None
+    for name, options in sorted(configurations.items()):
+        p = end_profile(points, annotation, **options, by=(by,)).groupBy(F.col(by).alias("context"), "bin").agg(F.count("*").alias("loci"), F.avg("score").alias("score"))
+        p = p.select(F.lit(name).alias("configuration"), "context", "bin", "loci", "score")
+        out = p if out is None else out.unionByName(p)
+    return out
 
 
 def profile_summary(profile: DataFrame) -> DataFrame:

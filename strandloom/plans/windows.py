@@ -148,15 +148,24 @@ def profile_by_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.groupBy("bin").agg(F.sum("n").alias("n"), F.round(F.sum(F.col("score") * F.col("n")) / F.sum("n"), 6).alias("score"))
 
 
+SHARE = 'f.score * (least(f."end", z.e) - greatest(f.start, z.s) + 1) / (f."end" - f.start + 1)'
+
+
 @query(
     "W11_batch_profiles",
-    f"""with {ENDS} select feature, bin, count(*) as loci, round(avg(q.score), 6) as score from q join a on a.id = q.id group by all""",
+    f"""with {FEATURES}, {NEAR}, m as (select *, 'half' as cfg, case when strand = '-' then greatest(anchor - 100, anchor - ("end" - start) // 2) else greatest(anchor - 100, coalesce(prev + 1, anchor - 100)) end as low,
+  case when strand = '-' then least(anchor + 100, coalesce(nxt - 1, anchor + 100)) else least(anchor + 100, anchor + ("end" - start) // 2) end as high, 20 as w from h where not overlapped
+  union all select *, 'whole', anchor - 100, anchor + 100, 50 from h where not overlapped),
+k as (select *, case when strand = '-' then anchor - (bin + 1) * w + 1 else anchor + bin * w end as s from m, (select unnest(range(-5, 5)) as bin) where bin between -(100 // w) and 100 // w - 1),
+z as (select cfg, id, sequence, bin, greatest(s, low) as s, least(s + w - 1, high) as e from k where greatest(s, low) <= least(s + w - 1, high)),
+q as (select cfg, z.id, bin, feature, avg({SHARE}) as score from z join f on f.sequence = z.sequence and f.start <= z.e and f."end" >= z.s group by all)
+select cfg as configuration, feature as context, bin, count(*) as loci, round(avg(score), 6) as score from q group by all""",
 )
 def batch_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same profile for every configuration at once: here one for each kind of locus."""
-    a = annotation(spark, sf_dir)
-    p = wi.end_profile(features(spark, sf_dir), a, 20, 100)
-    return p.join(a.select("id", "feature"), "id").groupBy("feature", "bin").agg(F.count("*").alias("loci"), F.round(F.avg("score"), 6).alias("score"))
+    """Two configurations, of other widths and stops, by the rows' kind."""
+    configurations = {"half": {"width": 20, "distance": 100, "stop": 6}, "whole": {"width": 50, "distance": 100}}
+    p = wi.batch_profiles(features(spark, sf_dir), annotation(spark, sf_dir), configurations, "feature")
+    return p.withColumn("score", F.round("score", 6))
 
 
 @query(

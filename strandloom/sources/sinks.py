@@ -27,9 +27,11 @@ def write_features(df: DataFrame, path: str, mode: str = "errorifexists") -> Non
     feature_lines(df).write.mode(mode).text(path)
 
 
-def attribute_table(df: DataFrame) -> DataFrame:
-    """K2: a column for every attribute key of any row; the keys are collected first (as many as there are columns)."""
-    keys = [r.k for r in df.select(F.explode(F.map_keys("attributes")).alias("k")).distinct().orderBy("k").collect()]
+def attribute_table(df: DataFrame, max_keys: int = 10_000) -> DataFrame:
+    """K2: a column for every attribute key of any row; the keys, max_keys at most, are collected first. More raise an error."""
+    keys = [r.k for r in df.select(F.explode(F.map_keys("attributes")).alias("k")).distinct().orderBy("k").limit(max_keys + 1).collect()]
+    if len(keys) > max_keys:
+        raise ValueError(f"over {max_keys} attribute keys do not make columns of a table")
     return df.select(*(c for c in df.columns if c != "attributes"), *(F.col("attributes")[k].alias(k) for k in keys))
 
 

@@ -37,7 +37,7 @@ def fixed_windows_stream(points: DataFrame, width: int, by: tuple[str, ...] = ("
 
 
 def runs_stream(points: DataFrame, step: int) -> DataFrame:
-    """A25 on a stream whose rows of a sequence come in order of start: a row (sequence, size) for each run that ended.
+    """A25 on a stream whose rows of a sequence come in order of start (one that comes later stops the stream with an error): a row (sequence, size) for each run that ended.
 
     State of a sequence is its open run's last position and size, so it does not grow; the last run stays open.
     """
@@ -47,6 +47,8 @@ def runs_stream(points: DataFrame, step: int) -> DataFrame:
         done = []
         for frame in frames:
             for start in sorted(frame["start"]):
+                if last is not None and start < last:
+                    raise ValueError(f"row {start} of {key[0]} comes after row {last}: runs need rows in order of start")
                 if last is not None and start - last > step:
                     done.append(size)
                     size = 0
