@@ -35,11 +35,13 @@ def packed(df: DataFrame, *names: str) -> DataFrame:
 def written(df: DataFrame, *partition_by: str) -> DataFrame:
     """Cuts lineage: df as a Parquet table in the shared folder, read back; discard or session.clean delete it.
 
-    Shuffle files of what has been written are not read again; Spark deletes them once the driver has collected its garbage.
+    Shuffle files of what was written before are not read again; Spark deletes them once the driver has collected its garbage.
+    With partition_by, tasks write to as many files at once and don't sort.
     """
     spark, path = df.sparkSession, work_folder(df.sparkSession)
-    df.write.partitionBy(*partition_by).option("compression", "zstd").parquet(path)
     spark._jvm.System.gc()
+    spark.conf.set("spark.sql.maxConcurrentOutputFileWriters", "8")
+    df.write.partitionBy(*partition_by).option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._work_path = path
     return out
