@@ -53,12 +53,14 @@ def _sampled(words: Words, length: int, k: int) -> tuple[np.ndarray, np.ndarray]
 
 def _digests(words: Words, start: np.ndarray, end: np.ndarray, size: int) -> np.ndarray:
     """Digests of the words from start up to end (word indexes), as rows of 64-bit integers, of ``size`` bytes in all."""
-    data, step = words.data, words.end - words.start
-    gap = np.append(words.start[1:] != words.end[:-1] + 1, True)  # after this word comes more than one blank
-    wide = np.concatenate([[0], np.cumsum(gap)])
-    blank = np.frombuffer(data, np.uint8)[np.minimum(words.end, len(data) - 1)] != 32  # or another than a space
-    wide += np.concatenate([[0], np.cumsum(blank)])
-    clean = wide[end - 1] == wide[start]  # the bytes as they stand are the words joined by one space
+    if not len(start):
+        return np.zeros((0, size // 8), np.int64)
+    data, lo, hi = words.data, int(start.min()), int(end.max())  # only these words are looked at
+    begin, close = words.start[lo:hi], words.end[lo:hi]
+    apart = np.append(begin[1:] != close[:-1] + 1, False)  # more than one blank after this word
+    apart |= np.frombuffer(data, np.uint8)[close] != 32  # or another blank than a space
+    wide = np.concatenate([[0], np.cumsum(apart)])
+    clean = wide[end - 1 - lo] == wide[start - lo]  # the bytes as they stand are the words joined by one space
     first, last = words.start[start].tolist(), words.end[end - 1].tolist()
     hashed, out = hashlib.blake2b, []
     for i, ok in enumerate(clean.tolist()):
@@ -66,7 +68,7 @@ def _digests(words: Words, start: np.ndarray, end: np.ndarray, size: int) -> np.
             out.append(hashed(data[first[i] : last[i]], digest_size=size).digest())
         else:
             own = range(int(start[i]), int(end[i]))
-            out.append(hashed(b" ".join(data[words.start[j] : words.start[j] + step[j]] for j in own), digest_size=size).digest())
+            out.append(hashed(b" ".join(data[words.start[j] : words.end[j]] for j in own), digest_size=size).digest())
     return np.frombuffer(b"".join(out), np.int64).reshape(len(out), size // 8)
 
 
