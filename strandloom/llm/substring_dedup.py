@@ -55,20 +55,12 @@ def _digests(words: Words, start: np.ndarray, end: np.ndarray, size: int) -> np.
     """Digests of the words from start up to end (word indexes), as rows of 64-bit integers, of ``size`` bytes in all."""
     if not len(start):
         return np.zeros((0, size // 8), np.int64)
-    data, lo, hi = words.data, int(start.min()), int(end.max())  # only these words are looked at
-    begin, close = words.start[lo:hi], words.end[lo:hi]
-    apart = np.append(begin[1:] != close[:-1] + 1, False)  # more than one blank after this word
-    apart |= np.frombuffer(data, np.uint8)[close] != 32  # or another blank than a space
-    wide = np.concatenate([[0], np.cumsum(apart)])
-    clean = wide[end - 1 - lo] == wide[start - lo]  # the bytes as they stand are the words joined by one space
-    first, last = words.start[start].tolist(), words.end[end - 1].tolist()
-    hashed, out = hashlib.blake2b, []
-    for i, ok in enumerate(clean.tolist()):
-        if ok:
-            out.append(hashed(data[first[i] : last[i]], digest_size=size).digest())
-        else:
-            own = range(int(start[i]), int(end[i]))
-            out.append(hashed(b" ".join(data[words.start[j] : words.end[j]] for j in own), digest_size=size).digest())
+    if not hasattr(words, "joined"):  # all words with one space between, once for a slice of texts
+        words.joined = b" ".join(words.data.split())
+        words.place = np.concatenate([[0], np.cumsum(words.end - words.start + 1)])
+    data, hashed = words.joined, hashlib.blake2b
+    ends = words.place[end] - 1
+    out = [hashed(data[s:e], digest_size=size).digest() for s, e in zip(words.place[start].tolist(), ends.tolist(), strict=True)]
     return np.frombuffer(b"".join(out), np.int64).reshape(len(out), size // 8)
 
 
