@@ -35,9 +35,27 @@ def attribute_table(df: DataFrame, max_keys: int = 10_000) -> DataFrame:
     return df.select(*(c for c in df.columns if c != "attributes"), *(F.col("attributes")[k].alias(k) for k in keys))
 
 
-def write_split(df: DataFrame, path: str, by: str = "sequence", rows: int = 0) -> None:
-    """K3, K4: a folder for each value of a column (strand, feature, sequence), files of at most ``rows`` rows."""
-    writer = df.write.option("maxRecordsPerFile", rows) if rows else df.write
+def together(df: DataFrame, by: str, part_rows: int = 1_000_000) -> DataFrame:
+    """df dealt so that the rows of a value meet in one task; those of a value with over part_rows rows in several.
+
+    Such values are counted first; they are fewer than 10,000, as part_rows grows with the table.
+    """
+    counts = df.groupBy(F.col(by).alias("_value")).count()
+    most = max(part_rows, df.count() // 10_000)
+    large = counts.where(F.col("count") > most).select("_value", F.ceil(F.col("count") / most).alias("_parts"))
+    dealt = df.join(F.broadcast(large), F.col(by).eqNullSafe(F.col("_value")), "left").withColumn("_part", F.spark_partition_id() % F.coalesce("_parts", F.lit(1)))
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return dealt.repartition(n, by, "_part").select(*df.columns)
+
+
+def write_split(df: DataFrame, path: str, by: str = "sequence", rows: int = 0, many: bool = False) -> None:
+    """K3, K4: a folder for each value of a column (strand, feature, sequence), files of at most ``rows`` rows.
+
+    many: rows of a value meet first, as else every task writes a file for each of its values.
+    """
+    writer = (together(df, by) if many else df).write
+    if rows:
+        writer = writer.option("maxRecordsPerFile", rows)
     writer.partitionBy(by).parquet(path)
 
 

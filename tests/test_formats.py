@@ -269,3 +269,20 @@ def test_genome_patch_and_diff(spark):
     assert rows(p) == [("c", "ATGT"), ("d", "")]
     assert rows(rd.genome_diff(g, p)) == [("c", 2, "C", "T")]
     assert rows(rd.match_positions(g, "AC")) == [("c", 1, 2, "+"), ("c", 3, 4, "-")]
+
+
+def test_split_of_many_values_writes_a_file_each(spark, tmp_path):
+    df = spark.range(0, 400, 1, 8).select("id", F.concat(F.lit("s"), F.col("id") % 50).alias("sequence"))
+    df = df.withColumn("sequence", F.when(F.col("id") >= 8, F.col("sequence")))  # and nulls
+    sk.write_split(df, str(tmp_path / "s"), many=True)
+    folders = [x for x in (tmp_path / "s").iterdir() if x.is_dir()]
+    assert len(folders) == 51 and all(len(list(x.glob("*.parquet"))) == 1 for x in folders)
+    assert rows(spark.read.parquet(str(tmp_path / "s")).select(*df.columns)) == rows(df)
+
+
+def test_values_of_many_rows_are_dealt_to_several_tasks(spark):
+    df = spark.range(0, 4000, 1, 8).select("id", F.when(F.col("id") % 4 > 0, "s").alias("sequence"))
+    out = sk.together(df, "sequence", 300)
+    assert rows(out) == rows(df)
+    parts = out.select("sequence", F.spark_partition_id().alias("p")).distinct().groupBy("sequence").count().collect()
+    assert len(parts) == 2 and all(r["count"] > 1 for r in parts)
