@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from strandloom import session
 from strandloom.llm import byte_bpe, entries, line_dedup, lm_scoring, minhash_dedup, mixing, quality_rules, substring_dedup, token_counts, topk_search, warc
 from strandloom.llm.common import Words
 from strandloom.llm.components import components
@@ -431,6 +432,16 @@ def test_log_gamma():
     assert lm_scoring.log_gamma(x) == pytest.approx([math.lgamma(y) for y in x], rel=1e-9, abs=1e-9)
 
 
+def test_work_tables_of_scores_are_freed(spark, odd):
+    """Of all work tables only the one that the scores are read from is left."""
+    folders = session._folders.setdefault(spark.sparkContext.applicationId, [])
+    before = len(folders)
+    out = lm_scoring.scored(odd)
+    made = [Path(f.removeprefix("file://")) for f in folders[before:]]
+    assert len(made) > 3 and sum(f.exists() for f in made) == 1
+    assert out.count() == odd.count()
+
+
 def test_scores_of_odd_rows(spark, odd):
     got = {r.doc_id: r for r in lm_scoring.scored(odd).collect()}
     assert got[1].n_tokens == got[2].n_tokens == got[3].n_tokens == 1 and got[7].n_tokens == 3001
