@@ -65,7 +65,7 @@ def line_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 def split_by_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K3: a folder for each sequence, read back with its name as a column."""
     folder = f"{work_folder(spark)}/split"
-    sk.write_split(features(spark, sf_dir), folder, many=True)
+    sk.write_split_many(features(spark, sf_dir), folder)
     return spark.read.parquet(folder).groupBy("sequence").agg(F.count("*").alias("n"), F.sum("id").alias("ids"))
 
 

@@ -2,11 +2,21 @@
 
 from __future__ import annotations
 
+import re
+import uuid
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyarrow import fs
+from pyarrow import parquet as pq
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandloom.functions import attributes as at
 from strandloom.functions import sequence as sq
+from strandloom.session import _path
 from strandloom.sources.text import FEATURE_COLUMNS
 
 
@@ -40,23 +50,76 @@ def together(df: DataFrame, by: str, part_rows: int = 1_000_000) -> DataFrame:
 
     Such values are counted first; they are fewer than 10,000, as part_rows grows with the table.
     """
-    counts = df.groupBy(F.col(by).alias("_value")).count()
+    counts = df.groupBy(F.col(by).alias("_key")).count()
     most = max(part_rows, df.count() // 10_000)
-    large = counts.where(F.col("count") > most).select("_value", F.ceil(F.col("count") / most).alias("_parts"))
-    dealt = df.join(F.broadcast(large), F.col(by).eqNullSafe(F.col("_value")), "left").withColumn("_part", F.spark_partition_id() % F.coalesce("_parts", F.lit(1)))
+    large = counts.where(F.col("count") > most).select("_key", F.ceil(F.col("count") / most).alias("_parts"))
+    dealt = df.join(F.broadcast(large), F.col(by).eqNullSafe(F.col("_key")), "left").withColumn("_part", F.spark_partition_id() % F.coalesce("_parts", F.lit(1)))
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return dealt.repartition(n, by, "_part").select(*df.columns)
 
 
-def write_split(df: DataFrame, path: str, by: str = "sequence", rows: int = 0, many: bool = False) -> None:
-    """K3, K4: a folder for each value of a column (strand, feature, sequence), files of at most ``rows`` rows.
+def write_split(df: DataFrame, path: str, by: str = "sequence", rows: int = 0) -> None:
+    """K3, K4: a folder for each value of a column (strand, feature, sequence), files of at most ``rows`` rows."""
+    writer = df.write.option("maxRecordsPerFile", rows) if rows else df.write
+    writer.partitionBy(by).parquet(path)
+
+
+def _folder(by: str, value: str | None) -> str:
+    """The name that Spark gives to a value's folder, from which it reads the value."""
+    return f"{by}=" + (re.sub(r"""[\x01-\x1f"#%'*/:=?\\\x7f{\[\]^]""", lambda m: f"%{ord(m[0]):02X}", value) if value else "__HIVE_DEFAULT_PARTITION__")
 
-    many: rows of a value meet first, as else every task writes a file for each of its values.
+
+def write_split_many(df: DataFrame, path: str, by: str = "sequence") -> None:
+    """K3: write_split for a column of very many values: a file each (of values with very many rows: several).
+
+    Rows of a value meet first, as else every task writes a file for each of its values, and Arrow writes the files: Spark's
+    writer runs several shell commands for each file on a local disk. A task gives the same names when it is repeated, and
+    its files get them when they are whole; the folder appears as a whole by a last renaming.
     """
-    writer = (together(df, by) if many else df).write
-    if rows:
-        writer = writer.option("maxRecordsPerFile", rows)
-    writer.partitionBy(by).parquet(path)
+    spark = df.sparkSession
+    place, system = _path(spark, path)
+    if system.exists(place):
+        raise ValueError(f"{path} is there already")
+    whole = re.sub("^file:/+", "file:///", system.makeQualified(place).toString())
+    staged = f"{whole}-{uuid.uuid4().hex}"
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, root = fs.FileSystem.from_uri(staged)
+        task = TaskContext.get()
+        name, made, now, out = f"part-{task.partitionId():05d}.parquet", 0, None, None
+
+        def closed() -> None:
+            out.close()
+            own, last = f"{root}/{now}/_{task.taskAttemptId()}-{name}", f"{root}/{now}/{name}"
+            if store.get_file_info(last).is_file:  # of an attempt before, whole and with the same rows
+                store.delete_file(own)
+            else:
+                store.move(own, last)
+
+        for batch in batches:
+            value, rest = batch.column("_value"), batch.drop_columns(["_value"])
+            codes = value.dictionary_encode(null_encoding="encode")
+            at = codes.indices.to_numpy()
+            starts = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]])) if len(at) else []
+            for s, e in zip(starts, [*starts[1:], len(at)], strict=True):
+                own = _folder(by, value[int(s)].as_py())
+                if own != now:
+                    if out:
+                        closed()
+                    now, made = own, made + 1
+                    store.create_dir(f"{root}/{now}")
+                    out = pq.ParquetWriter(f"{root}/{now}/_{task.taskAttemptId()}-{name}", rest.schema, filesystem=store, compression="snappy")
+                out.write_batch(rest.slice(s, e - s))
+        if out:
+            closed()
+        yield pa.RecordBatch.from_arrays([pa.array([made], pa.int64())], ["files"])
+
+    # by the folder's value, so that null and the empty text, which share a folder, follow each other
+    dealt = together(df.withColumn("_value", F.nullif(F.col(by).cast("string"), F.lit(""))).drop(by), "_value").sortWithinPartitions("_value")
+    system.mkdirs(_path(spark, staged)[0])
+    dealt.mapInArrow(write, "files long").agg(F.sum("files")).collect()
+    if not system.rename(_path(spark, staged)[0], place):
+        raise OSError(f"{staged} could not be renamed")
 
 
 def wiggle_lines(df: DataFrame, value: Column) -> DataFrame:

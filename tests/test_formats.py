@@ -273,10 +273,11 @@ def test_genome_patch_and_diff(spark):
 
 def test_split_of_many_values_writes_a_file_each(spark, tmp_path):
     df = spark.range(0, 400, 1, 8).select("id", F.concat(F.lit("s"), F.col("id") % 50).alias("sequence"))
-    df = df.withColumn("sequence", F.when(F.col("id") >= 8, F.col("sequence")))  # and nulls
-    sk.write_split(df, str(tmp_path / "s"), many=True)
+    odd = F.element_at(F.array(*map(F.lit, ["a/b=c", "100%", "é {x}", "[q]^?"])), (F.col("id") / 3).cast("int") + 1)
+    df = df.withColumn("sequence", F.when(F.col("id") >= 20, F.col("sequence")).when(F.col("id") < 12, odd))  # and nulls
+    sk.write_split_many(df, str(tmp_path / "s"))
     folders = [x for x in (tmp_path / "s").iterdir() if x.is_dir()]
-    assert len(folders) == 51 and all(len(list(x.glob("*.parquet"))) == 1 for x in folders)
+    assert len(folders) == 55 and all(len(list(x.glob("*.parquet"))) == 1 for x in folders)
     assert rows(spark.read.parquet(str(tmp_path / "s")).select(*df.columns)) == rows(df)
 
 
