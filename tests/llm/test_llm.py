@@ -301,6 +301,54 @@ def test_trie_weights_and_sums():
             assert weight[e] == sum(c for c, x in zip(count, closed, strict=True) if x[: d + 1] == closed[i][: d + 1])
 
 
+def test_counts_of_siblings_equal_brute_force():
+    rng = random.Random(9)
+    words = sorted({bytes(rng.choices(b"abz\xc3\xa9", k=rng.randrange(1, 7))) for _ in range(200)} | {b"\n"})
+    trie, count = lm_scoring.Trie(words), np.array([rng.randrange(1, 9) for _ in range(1000)])[: len(words)]
+    closed, weight = [w if w == b"\n" else w + b" " for w in words], trie.weights(count)
+    siblings = trie.siblings(weight)
+    for j in range(8):
+        zero, one = siblings(j)
+        for e in range(0, len(trie.byte), 7):
+            history, byte, want = closed[trie.word[e]][: trie.depth[e]], trie.byte[e], [0, 0]
+            for w, c in zip(closed, count, strict=True):
+                if w.startswith(history) and len(w) > len(history) and w[len(history)] >> (8 - j) == byte >> (8 - j):
+                    want[w[len(history)] >> (7 - j) & 1] += c
+            assert [zero[e], one[e]] == want
+
+
+def test_blocks_pack_their_words(spark, monkeypatch):
+    """Rows of a block grow with slices, not with words; what is unpacked are all words and their counts by kind."""
+    rng = random.Random(10)
+    made = [(i, " ".join(rng.choices([f"w{k}" for k in range(300)], k=40)) + " top" * (i % 3) * 9, i % 4 == 0) for i in range(60)]
+    blocks = lm_scoring.blocks(spark.createDataFrame(made, "doc_id long, text string, held_out boolean").coalesce(1)).cache()
+    count = {r["kind"]: r["count"] for r in blocks.groupBy("kind").count().collect()}
+    distinct = {w for _, t, _ in made for w in t.encode().split()} | {b"\n"}
+    assert count[1] == count[2] == 1 < len(distinct) < lm_scoring.SLICE
+    words = blocks.where("kind = 1")
+    placed = lm_scoring.places(words).collect()
+    assert sorted(r.id for r in placed) == list(range(len(distinct)))
+    assert {r.h for r in placed} == set(lm_scoring.hashes(sorted(distinct)).tolist())
+    named = [int(lm_scoring.hashes([b"top"])[0]), 5]
+    want = collections.defaultdict(lambda: [0, 0])
+    for _, t, out in made:
+        own = t.encode().split()
+        often = collections.Counter(own)
+        kind = min(w for w in often if often[w] == max(often.values()))
+        for w in [*own, b"\n"]:
+            want[w][0] += not out
+            want[w][1] += not out and kind == b"top"
+    got = {bytes(r.token): [r.c, r.k0] for r in lm_scoring.counts_by_kind(words, named).collect()}
+    assert got == dict(want) and any(k for _, k in got.values())
+    monkeypatch.setattr(lm_scoring, "SLICE", 50)
+    block = lm_scoring._Block(0)
+    for _, t, out in made:
+        block.add(t, out)
+    parts = [lm_scoring._hashed(x["data"][0]) for x in block.words() if x["kind"] == [1]]
+    assert [n for _, n, *_ in parts] == [50] * 6 + [1]
+    assert np.concatenate([h for _, _, h, *_ in parts]).tolist() == lm_scoring.hashes(block.numbers.tokens).tolist()
+
+
 def test_hashed_contexts_are_the_last_bytes_of_the_word():
     words = sorted([b"abcde", b"xbcde", b"cde", b"abcdef"])
     trie = lm_scoring.Trie(words)
