@@ -13,7 +13,8 @@ import base64
 import functools
 import hashlib
 import operator
-from collections.abc import Iterator
+import struct
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +26,22 @@ from strandloom.llm.pretoken import pretokens
 
 #: Bytes of a leaf of the tree, and of a window that is re-encoded by merging; a longer one is halved again.
 LEAF, WINDOW = 2, 96
-#: Pieces in a worker's cache before it starts afresh, the longest piece that goes there, and what is known of pairs and windows.
-CACHE_ENTRIES, CACHE_PIECE, STABLE_ENTRIES = 300_000, 48, 100_000
+#: Pieces in each of a worker's two generations, the longest piece that goes there, and what is known of pairs and windows.
+CACHE_ENTRIES, CACHE_PIECE, STABLE_ENTRIES = 300_000, 48, 200_000
+
+
+class _Known(dict):
+    """What a function gave for a key; starts afresh beyond STABLE_ENTRIES."""
+
+    def __init__(self, of: Callable) -> None:
+        super().__init__()
+        self.of = of
+
+    def __missing__(self, key: bytes | tuple[int, int]) -> list[int] | None:
+        if len(self) >= STABLE_ENTRIES:
+            self.clear()
+        self[key] = out = self.of(key)
+        return out
 
 
 class TreeCodec(dict):
@@ -36,14 +51,17 @@ class TreeCodec(dict):
         super().__init__()
         self.ranks = ranks
         self.bytes_of = {i: b for b, i in ranks.items()}
-        self.stable: dict[tuple[int, int], bool] = {}
-        self.windows: dict[bytes, list[int]] = {}
+        self.older: dict[str, bytes] = {}  # pieces of the generation before
+        self.leaves, self.windows, self.pairs = _Known(self._leaf), _Known(self.merged), _Known(self._pair)
         self.joins = 0  # of two halves of a piece
 
     def __missing__(self, piece: str) -> bytes:
-        out = np.array(self.encode(piece.encode("utf-8", "replace")), "<u4").tobytes()
+        if (out := self.older.get(piece)) is None:
+            ids = self.encode(piece.encode("utf-8", "replace"))
+            out = struct.pack(f"<{len(ids)}I", *ids)
         if len(piece) <= CACHE_PIECE:
-            if len(self) >= CACHE_ENTRIES:
+            if len(self) >= CACHE_ENTRIES:  # pieces that are still in use come back from the older ones
+                self.older = dict(self)
                 self.clear()
             self[piece] = out
         return out
@@ -65,48 +83,45 @@ class TreeCodec(dict):
                 ranks[i] = get(joined + parts[i + 1], none)
         return [self.ranks[p] for p in parts]
 
-    def is_stable(self, a: int, b: int) -> bool:
-        if (known := self.stable.get((a, b))) is None:
-            if len(self.stable) >= STABLE_ENTRIES:
-                self.stable.clear()
-            known = self.stable[a, b] = self.merged(self.bytes_of[a] + self.bytes_of[b]) == [a, b]
-        return known
+    def _leaf(self, data: bytes) -> list[int]:
+        if (whole := self.ranks.get(data)) is not None:
+            return [whole]
+        return [self.ranks[data[i : i + 1]] for i in range(len(data))]
+
+    def _pair(self, pair: tuple[int, int]) -> list[int] | None:
+        """The encoding of two tokens' bytes, None if it is the two: the pair is stable."""
+        out = self.merged(self.bytes_of[pair[0]] + self.bytes_of[pair[1]])
+        return None if out == [*pair] else out
 
     def window(self, data: bytes) -> list[int]:
         """The encoding of a boundary window's bytes."""
-        if len(data) > WINDOW:
-            return self._halves(data)
-        if (known := self.windows.get(data)) is None:
-            if len(self.windows) >= STABLE_ENTRIES:
-                self.windows.clear()
-            known = self.windows[data] = self.merged(data)
-        return known
+        return self._halves(data) if len(data) > WINDOW else self.windows[data]
 
     def join(self, left: list[int], right: list[int]) -> list[int]:
         """The encoding of two neighbours' bytes from their encodings."""
-        if not left or not right or self.is_stable(left[-1], right[0]):
+        if not left or not right:
+            return left + right
+        pairs, i, j = self.pairs, 1, 1
+        if (inner := pairs[left[-1], right[0]]) is None:
             return left + right
-        i = j = 1
         while True:
-            inner = self.window(b"".join(map(self.bytes_of.__getitem__, left[-i:] + right[:j])))
-            left_ok = i >= len(left) or self.is_stable(left[-i - 1], inner[0])
-            right_ok = j >= len(right) or self.is_stable(inner[-1], right[j])
+            left_ok = i >= len(left) or pairs[left[-i - 1], inner[0]] is None
+            right_ok = j >= len(right) or pairs[inner[-1], right[j]] is None
             if left_ok and right_ok:
                 return left[: len(left) - i] + inner + right[j:]
             i, j = (i if left_ok else min(len(left), 2 * i)), (j if right_ok else min(len(right), 2 * j))
+            inner = self.window(b"".join(map(self.bytes_of.__getitem__, left[-i:] + right[:j])))
 
     def _halves(self, data: bytes) -> list[int]:
         half = len(data) // 2
         self.joins += 1
-        return self.join(self.encode(data[:half]), self.encode(data[half:]))
+        left = self.leaves[data[:half]] if half <= LEAF else self._halves(data[:half])
+        right = self.leaves[data[half:]] if len(data) - half <= LEAF else self._halves(data[half:])
+        return self.join(left, right)
 
     def encode(self, data: bytes) -> list[int]:
         """The ids of a piece's bytes."""
-        if len(data) > LEAF:
-            return self._halves(data)
-        if (whole := self.ranks.get(data)) is not None:
-            return [whole]
-        return [self.ranks[data[i : i + 1]] for i in range(len(data))]
+        return self._halves(data) if len(data) > LEAF else self._leaf(data)
 
     def encode_text(self, text: str) -> bytes:
         """Ids of a text, little-endian unsigned 32-bit."""

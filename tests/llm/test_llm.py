@@ -554,6 +554,18 @@ def test_pieces_go_through_the_tree(small):
     assert tree.decode([]) == b"" and tree.decode([65]) == tree.bytes_of[65]
 
 
+def test_pieces_in_use_are_not_joined_again(monkeypatch):
+    """A full cache keeps what is in use, so that many pieces which come once don't cost the frequent ones' joins."""
+    monkeypatch.setattr(byte_bpe, "CACHE_ENTRIES", 20)
+    monkeypatch.setattr(byte_bpe, "STABLE_ENTRIES", 30)
+    ranks = byte_bpe.codec(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")).ranks
+    tree, library = byte_bpe.TreeCodec(ranks), tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    text = " ".join(f"frequently q{'xyz'[i % 3]}{chr(97 + i // 26)}{chr(97 + i % 26)}vern" for i in range(300))
+    assert np.frombuffer(tree.encode_text(text), "<u4").tolist() == library.encode_ordinary(text)
+    assert tree.joins == sum(joins(len(p)) for p in set(byte_bpe.pretokens(text)))
+    assert max(map(len, (tree, tree.older, tree.pairs, tree.windows, tree.leaves))) <= 30
+
+
 def joins(n):
     return 0 if n <= byte_bpe.LEAF else 1 + joins(n // 2) + joins(n - n // 2)
 
